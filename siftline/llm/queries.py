@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm.common import table
+from siftline.llm.common import scratch_path, table
+from siftline.llm.exact_dedup import exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
+from siftline.llm.pieces import vocabulary
+from siftline.llm.token_store import read_store, write_store
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("class_id")
 
 
-QUERIES = {"op1_minhash": op1_minhash}
-ORACLE_SQL: dict[str, str] = {}
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, tokenizer = scratch_path(spark, "store"), vocabulary("byte_bpe_50k.json")
+    write_store(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
+    found = read_store(spark, path, tokenizer)
+    return found.select("doc_id", "start", "n_tokens", F.when(F.col("sound"), F.col("ids_crc32")).otherwise(F.raise_error(F.lit("a digest or root is wrong"))).cast("long").alias("ids_crc32"))
+
+
+QUERIES = {"op1_minhash": op1_minhash, "op2_exact_dedup": op2_exact_dedup, "op3_token_store": op3_token_store}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+               doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents""",
+}
