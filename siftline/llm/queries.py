@@ -9,6 +9,7 @@ from siftline.llm.common import scratch_path, table
 from siftline.llm.exact_dedup import exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
 from siftline.llm.pieces import vocabulary
+from siftline.llm.pii import KINDS, personal_data
 from siftline.llm.token_store import read_store, write_store
 
 
@@ -27,7 +28,13 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.when(F.col("sound"), F.col("ids_crc32")).otherwise(F.raise_error(F.lit("a digest or root is wrong"))).cast("long").alias("ids_crc32"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_exact_dedup": op2_exact_dedup, "op3_token_store": op3_token_store}
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(found, x -> x.plain and x.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, "base_sha256", "spans")
+
+
+QUERIES = {"op1_minhash": op1_minhash, "op2_exact_dedup": op2_exact_dedup, "op3_token_store": op3_token_store, "op4_pii": op4_pii}
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
