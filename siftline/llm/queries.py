@@ -10,6 +10,8 @@ from siftline.llm.exact_dedup import exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
 from siftline.llm.pieces import vocabulary
 from siftline.llm.pii import KINDS, personal_data
+from siftline.llm.sentencepieces import digests
+from siftline.llm.token_counts import token_counts
 from siftline.llm.token_store import read_store, write_store
 
 
@@ -34,7 +36,22 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_sha256", "spans")
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_exact_dedup": op2_exact_dedup, "op3_token_store": op3_token_store, "op4_pii": op4_pii}
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+QUERIES = {
+    "op1_minhash": op1_minhash,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_store": op3_token_store,
+    "op4_pii": op4_pii,
+    "op9_sentencepiece": op9_sentencepiece,
+    "op10_token_counts": op10_token_counts,
+}
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
