@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftline.llm import quality, toxicity
 from siftline.llm.common import scratch_path, table
 from siftline.llm.exact_dedup import exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
@@ -36,6 +37,22 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_sha256", "spans")
 
 
+def _remainder(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), _remainder(5) != 0)
+    return quality.scored(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _remainder(3) != 1)
+    return toxicity.scored(docs, model).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -49,6 +66,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_store": op3_token_store,
     "op4_pii": op4_pii,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
