@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm import quality, toxicity
 from siftline.llm.common import scratch_path, table
+from siftline.llm.decontamination import contamination
 from siftline.llm.exact_dedup import exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
 from siftline.llm.pieces import vocabulary
@@ -41,6 +42,12 @@ def _remainder(parts: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), _remainder(5) != 0)
@@ -66,6 +73,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_store": op3_token_store,
     "op4_pii": op4_pii,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op9_sentencepiece": op9_sentencepiece,

@@ -18,31 +18,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import arrow_rows, grams, mix, spread, text_of, written
+from siftline.llm.common import arrow_rows, drop_written, grams, mix, spread, text_of, written
 from siftline.llm.pieces import encoder
 
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 2048
 RECIPE = "array<struct<digest binary, n int>>"
 _SEEN = 500_000
+#: Digests that several tasks have met, up to which their table is broadcast (24 bytes each).
+BROADCAST_DIGESTS = 200_000
 
 
-def cuts(ids: np.ndarray, window: int = WINDOW, mean: int = MEAN, least: int = LEAST, most: int = MOST) -> list[int]:
-    """Ends of the chunks of one document. A cut follows the ids whose rolling hash is 0 modulo ``mean``."""
-    if len(ids) <= least:
-        return [len(ids)] if len(ids) else []
-    rolling = grams(mix(ids.astype(np.uint64)), window)
-    marks = np.flatnonzero((rolling & np.uint64(mean - 1)) == 0) + window
+def marks(ids: np.ndarray, window: int = WINDOW, mean: int = MEAN) -> np.ndarray:
+    """Ends of the windows whose rolling hash is 0 modulo ``mean``, in ids of any number of documents one after the other."""
+    return np.flatnonzero((grams(mix(ids.astype(np.uint64)), window) & np.uint64(mean - 1)) == 0) + window
+
+
+def cuts(size: int, marks: list[int], least: int = LEAST, most: int = MOST) -> list[int]:
+    """Ends of the chunks of a document of ``size`` ids with marks at these places. No chunk but a last one is shorter than ``least``, which is
+    more than a window, so windows that began in another document don't count."""
     out, last = [], 0
-    for at in [*marks.tolist(), len(ids)]:
+    for at in [*marks, size]:
         while at - last > most:
             last += most
             out.append(last)
-        if at - last >= least or at == len(ids):
-            if at > last:
-                out.append(at)
+        if at > last and (at - last >= least or at == size):
+            out.append(at)
             last = at
     return out
 
@@ -91,28 +95,36 @@ def crc_shift(crc: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
 
 def _encode(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen = encoder(path), set()
+        enc, seen, task, number = encoder(path), set(), TaskContext.get().partitionId() << 40, 0
         kind = pa.list_(pa.struct([("digest", pa.binary()), ("n", pa.int32())]))
+        fresh_kind = pa.list_(pa.struct([("digest", pa.binary()), ("place", pa.int64()), ("ids", pa.binary())]))
         tail = np.array([end], enc.dtype)
         for b in arrow_rows(batches, 1000):
             n, roots, recipes, fresh = [], [], [], []
-            for text in b.column(1).to_pylist():
-                ids, at, recipe, new = np.concatenate([enc.encode(text), tail]), 0, [], []
-                for to in cuts(ids):
-                    part = ids[at:to]
-                    digest = hashlib.blake2b(part.astype("<u4").tobytes(), digest_size=16).digest()
+            each = [x for t in b.column(1).to_pylist() for x in (enc.encode(t), tail)]
+            joined = np.concatenate(each) if each else tail[:0]
+            wide, all_marks, start = joined.astype("<u4"), marks(joined), 0
+            for ids in each[::2]:
+                size = len(ids) + 1
+                lo, hi = np.searchsorted(all_marks, (start, start + size), "right")
+                at, recipe, new = start, [], []
+                for to in cuts(size, (all_marks[lo:hi] - start).tolist()):
+                    to += start
+                    digest = hashlib.blake2b(wide[at:to], digest_size=16).digest()
                     recipe.append({"digest": digest, "n": to - at})
                     if digest not in seen:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(digest)
-                        new.append({"digest": digest, "ids": part.tobytes()})
+                        new.append({"digest": digest, "place": task + number, "ids": joined[at:to].tobytes()})
+                        number += 1
                     at = to
-                n.append(len(ids))
+                start += size
+                n.append(size)
                 roots.append(merkle([x["digest"] for x in recipe]))
                 recipes.append(recipe)
                 fresh.append(new)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(recipes, kind), pa.array(fresh, pa.list_(pa.struct([("digest", pa.binary()), ("ids", pa.binary())])))], names=["doc_id", "n_tokens", "root", "chunks", "fresh"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(recipes, kind), pa.array(fresh, fresh_kind)], names=["doc_id", "n_tokens", "root", "chunks", "fresh"])
 
     return run
 
@@ -156,6 +168,18 @@ def verify_manifest(spark: SparkSession, path: str) -> bool:
     return manifest.join(found, "part", "full").where("not (root <=> expected)").isEmpty()
 
 
+def _unique(staged: DataFrame) -> DataFrame:
+    """Each chunk once: digest, ids. Tasks have left out what they had met before; of the chunks that several tasks met, the first place stays.
+    Only digests are shuffled, unless the copies to leave out are too many for a broadcast."""
+    chunks = staged.select(F.explode("fresh").alias("c")).select("c.*")
+    first = chunks.select("digest", "place").groupBy("digest").agg(F.min("place").alias("place"), F.count("*").alias("c"))
+    many = written(first.where("c > 1").select("digest", "place"), "many")
+    if many.count() <= BROADCAST_DIGESTS:
+        kept = chunks.join(F.broadcast(many.withColumnRenamed("place", "first")), "digest", "left").where("first is null or first = place")
+        return kept.select("digest", "ids")
+    return chunks.select("digest", "ids").dropDuplicates(["digest"])
+
+
 def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
     """Writes a store of (doc_id, text, ...) to a new folder ``path``.
 
@@ -164,10 +188,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """
     spark = docs.sparkSession
     source = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
-    staged = written(source.mapInArrow(_encode(tokenizer, end_id), f"doc_id long, n_tokens long, root binary, chunks {RECIPE}, fresh array<struct<digest binary, ids binary>>"), "staged")
-    staged.select(F.explode("fresh").alias("c")).select("c.*").dropDuplicates(["digest"]).write.parquet(f"{path}/chunks")
+    staged = written(source.mapInArrow(_encode(tokenizer, end_id), f"doc_id long, n_tokens long, root binary, chunks {RECIPE}, fresh array<struct<digest binary, place long, ids binary>>"), "staged")
     order = ["doc_id", "root"]
     parts = written(staged.drop("fresh").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "ordered")
+    _unique(staged).write.parquet(f"{path}/chunks")
+    drop_written(spark, staged)
     #: a row for each partition, so a few thousand at most; its running sum needs one task
     totals = parts.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("rows"))
     bases = totals.withColumn("base", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
