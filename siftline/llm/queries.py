@@ -13,6 +13,7 @@ from siftline.llm.near_dedup import near_duplicates
 from siftline.llm.pieces import vocabulary
 from siftline.llm.pii import KINDS, personal_data
 from siftline.llm.sentencepieces import digests
+from siftline.llm.substring_dedup import repeated_passages
 from siftline.llm.token_counts import token_counts
 from siftline.llm.token_store import read_store, write_store
 
@@ -60,6 +61,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
