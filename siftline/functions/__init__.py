@@ -1,0 +1 @@
+"""Column functions; all of them run in the JVM."""

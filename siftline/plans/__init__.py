@@ -1,0 +1 @@
+"""Whole workflows of operators."""

@@ -1,10 +1,387 @@
-"""The queries of the operators outside llm, and their SQL."""
+"""The queries of the operators outside llm, and their SQL for DuckDB."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from siftline.functions import quality, text, vectors
+from siftline.operators import chunking, cleaning, filtering, interactive, search
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: The query of the searches: two of its words are common, one asks for its topic.
+ASKED = "This work is licensed: politica, license and general version"
+INTERACTIVE = "this work THIS license"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A small file may be one row group: dealt to all cores before work on texts. Larger inputs have splits enough and aren't moved."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < 64 << 20 else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_path"), "text"))
+
+
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk_documents(documents(spark, sf_dir))
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.judged(chunks(spark, sf_dir))
+
+
+def index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with vectors as chunks of their sources."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_path"), F.col("doc_id").alias("chunk_index"), "text")
+    return docs.join(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), "id").withColumn("quality_score", F.lit(None).cast("double"))
+
+
+def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector that is searched for: that of vec_id 0."""
+    return table(spark, sf_dir, "embeddings").where("vec_id = 0").select(F.col("embedding").alias("query_vector"))
+
+
+# --- SQL that several oracles begin with ---
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _words(x: str) -> str:
+    return f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')"
+
+
+def _packed(source: str) -> str:
+    """CTEs that end in chunks(source_path, chunk_index, text) of a query for (source_path, text)."""
+    return f"""
+    given AS ({source}),
+    paras AS (SELECT source_path, list_filter(list_transform(regexp_split_to_array({_strip("text")}, '\\n\\s*\\n+'), lambda p: {_strip("p")}), lambda p: p <> '') AS ps FROM given),
+    counted AS (SELECT source_path, list_transform(ps, lambda p: {{'done': [p], 'open': {_words("p")}, 'n': len({_words("p")})}}) AS es FROM paras),
+    folded AS (SELECT source_path, list_reduce(es, lambda s, x:
+        CASE WHEN x.n > 500 THEN {{'done': list_concat(s.done, CASE WHEN len(s.open) > 0 THEN [array_to_string(s.open, chr(10) || chr(10))] ELSE []::VARCHAR[] END,
+                                      list_transform(range(0, x.n, 420), lambda i: array_to_string(x.open[i + 1 : i + 500], ' '))), 'open': []::VARCHAR[], 'n': 0::BIGINT}}
+             WHEN s.n + x.n > 500 THEN {{'done': list_concat(s.done, CASE WHEN len(s.open) > 0 THEN [array_to_string(s.open, chr(10) || chr(10))] ELSE []::VARCHAR[] END), 'open': x.done, 'n': x.n}}
+             ELSE {{'done': s.done, 'open': list_concat(s.open, x.done), 'n': s.n + x.n}} END,
+        {{'done': []::VARCHAR[], 'open': []::VARCHAR[], 'n': 0::BIGINT}}) AS s FROM counted),
+    packed AS (SELECT source_path, list_concat(s.done, CASE WHEN len(s.open) > 0 THEN [array_to_string(s.open, chr(10) || chr(10))] ELSE []::VARCHAR[] END) AS cs FROM folded),
+    chunks AS (SELECT source_path, unnest(range(0, len(cs)))::INTEGER AS chunk_index, unnest(cs) AS text FROM packed)"""
+
+
+_DOCUMENTS = "SELECT doc_id::VARCHAR AS source_path, coalesce(text, '') AS text FROM documents"
+_CHUNKS = _packed(_DOCUMENTS)
+_STATS = (
+    _CHUNKS
+    + f""",
+    bare AS (SELECT *, {_strip("text")} AS t FROM chunks),
+    counts AS (SELECT *, len(t) AS n, len(regexp_extract_all(t, '[A-Za-zÁÉÍÓÚÜÑáéíóúüñ]')) AS alpha, len(regexp_extract_all(t, '\\d')) AS digit, len(regexp_extract_all(t, '\\s')) AS space,
+        list_filter(list_transform(regexp_split_to_array(t, '\\r\\n|[\\n\\r]'), lambda l: {_strip("l")}), lambda l: l <> '') AS ls FROM bare),
+    stats AS (SELECT source_path, chunk_index, text, t, n, alpha, digit, space, alpha / greatest(n, 1)::DOUBLE AS alpha_ratio, digit / greatest(n, 1)::DOUBLE AS digit_ratio, space / greatest(n, 1)::DOUBLE AS space_ratio,
+        len(ls) AS lines, coalesce(list_sum(list_transform(ls, lambda l: len(l))), 0) / greatest(len(ls), 1)::DOUBLE AS avg_line_len,
+        CASE WHEN n = 0 THEN 1.0::DOUBLE ELSE len(list_filter(ls, lambda l: len(l) <= 20)) / greatest(len(ls), 1)::DOUBLE END AS short_lines_ratio FROM counts)"""
+)
+_SCORED = (
+    _STATS
+    + """,
+    flags AS (SELECT *, digit_ratio > 0.18::DOUBLE AS f1, short_lines_ratio > 0.55::DOUBLE AND lines >= 6 AS f2, regexp_matches(text, '[-_=]{5,}|[|]{3,}') AS f3,
+        regexp_matches(text, '(?i)\\b(Tel|Telf|PBX|Fax)\\b') AS f4, contains(text, '%') AND digit_ratio > 0.12::DOUBLE AS f5, regexp_matches(text, '(?i)[$€]|USD') AND digit_ratio > 0.10::DOUBLE AS f6 FROM stats),
+    scored AS (SELECT *, CASE WHEN n = 0 THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, least(0.85::DOUBLE, alpha_ratio * 1.6::DOUBLE)
+        - CASE WHEN f1 THEN (digit_ratio - 0.18::DOUBLE) * 1.8::DOUBLE ELSE 0.0 END - CASE WHEN f2 THEN (short_lines_ratio - 0.55::DOUBLE) * 1.2::DOUBLE ELSE 0.0 END
+        - CASE WHEN f3 THEN 0.15::DOUBLE ELSE 0.0 END - CASE WHEN f4 THEN 0.10::DOUBLE ELSE 0.0 END - CASE WHEN f5 THEN 0.08::DOUBLE ELSE 0.0 END - CASE WHEN f6 THEN 0.06::DOUBLE ELSE 0.0 END)) END AS score,
+        CASE WHEN n = 0 THEN ['empty'] ELSE list_filter([CASE WHEN f1 THEN 'digit_heavy' END, CASE WHEN f2 THEN 'many_short_lines' END, CASE WHEN f3 THEN 'many_separators' END, CASE WHEN f4 THEN 'phoneish' END, CASE WHEN f5 THEN 'percent+digits' END, CASE WHEN f6 THEN 'money+digits' END], lambda r: r IS NOT NULL) END AS score_reasons FROM flags),
+    hashed AS (SELECT *, sha1(regexp_replace(t, '\\s+', ' ', 'g')) AS content_hash FROM scored),
+    judged AS (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY source_path, chunk_index) > 1 AS is_duplicate FROM hashed),
+    kept AS (SELECT *, score >= 0.55::DOUBLE AND n >= 80 AND NOT is_duplicate AS keep FROM judged),
+    why AS (SELECT *, list_concat(list_filter([CASE WHEN is_duplicate THEN 'duplicate' END, CASE WHEN n < 80 THEN 'too_short' END], lambda r: r IS NOT NULL), score_reasons, CASE WHEN score < 0.55::DOUBLE THEN ['below_threshold'] ELSE []::VARCHAR[] END) AS drop_reasons FROM kept)"""
+)
+_STATS_OUT = "source_path, chunk_index, n, alpha, digit, space, round(alpha_ratio, 9) AS alpha_ratio, round(digit_ratio, 9) AS digit_ratio, round(space_ratio, 9) AS space_ratio, lines, round(avg_line_len, 9) AS avg_line_len, round(short_lines_ratio, 9) AS short_lines_ratio"
+
+
+@query(f"WITH {_STATS} SELECT {_STATS_OUT} FROM stats")
+def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks(spark, sf_dir).withColumn("s", quality.stats(F.col("text")))
+    return found.select("source_path", "chunk_index", *(F.round(F.col("s")[k], 9).alias(k) if k.endswith(("ratio", "len")) else F.col("s")[k].alias(k) for k in quality.STATS))
+
+
+@query(f"WITH {_SCORED} SELECT source_path, chunk_index, score AS quality_score, array_to_string(score_reasons, ',') AS reasons FROM scored")
+def chunk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.scored(chunks(spark, sf_dir)).select("source_path", "chunk_index", "quality_score", F.array_join("score_reasons", ",").alias("reasons"))
+
+
+@query(f"WITH {_SCORED} SELECT source_path, chunk_index, content_hash, is_duplicate FROM judged")
+def content_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.with_duplicates(chunks(spark, sf_dir)).select("source_path", "chunk_index", "content_hash", "is_duplicate")
+
+
+@query(f"WITH {_SCORED} SELECT source_path, chunk_index, round(score, 4) AS quality_score, text FROM kept WHERE keep")
+def filter_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.kept(judged(spark, sf_dir))
+
+
+_REASONS = f"{_SCORED}, each_reason AS (SELECT unnest(drop_reasons) AS reason FROM why WHERE NOT keep)"
+
+
+@query(f"WITH {_REASONS} SELECT reason, count(*) AS count FROM each_reason GROUP BY reason")
+def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.drop_reasons(judged(spark, sf_dir))
+
+
+@query(f"WITH {_REASONS} SELECT reason, count(*) AS count FROM each_reason GROUP BY reason ORDER BY count DESC, reason LIMIT 12")
+def top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.top_reasons(filtering.drop_reasons(judged(spark, sf_dir)), filtering.CHART_REASONS)
+
+
+@query(
+    f"""WITH {_SCORED} SELECT 0.55::DOUBLE AS threshold, count(*) FILTER (keep) AS kept, count(*) FILTER (NOT keep) AS dropped, count(DISTINCT source_path) FILTER (keep) AS kept_unique_docs,
+        count(DISTINCT source_path) - count(DISTINCT source_path) FILTER (keep) AS docs_with_zero_kept_chunks, count(*) FILTER (keep) AS score_count,
+        min(score) FILTER (keep) AS score_min, max(score) FILTER (keep) AS score_max, round(avg(score) FILTER (keep), 9) AS score_avg FROM kept"""
+)
+def filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.report(judged(spark, sf_dir)).withColumn("score_avg", F.round("score_avg", 9))
+
+
+@query(f"WITH {_SCORED} SELECT source_path, count(*) FILTER (keep) AS kept, count(*) FILTER (NOT keep) AS dropped FROM kept GROUP BY source_path")
+def kept_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filtering.per_document(judged(spark, sf_dir))
+
+
+@query(
+    f"""WITH w AS (SELECT doc_id, {_words("coalesce(text, '')")} AS ws FROM documents), v AS (SELECT doc_id, list_transform(range(0, len(ws), 420), lambda i: array_to_string(ws[i + 1 : i + 500], ' ')) AS cs FROM w)
+    SELECT doc_id::VARCHAR AS source_path, unnest(range(0, len(cs)))::INTEGER AS window_index, unnest(cs) AS text FROM v"""
+)
+def word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = chunking.word_windows(text.words(F.coalesce("text", F.lit(""))))
+    return documents(spark, sf_dir).select("source_path", F.posexplode(cut).alias("window_index", "text"))
+
+
+_BY_LINE = "SELECT doc_id::VARCHAR AS source_path, replace(coalesce(text, ''), chr(10), chr(10) || chr(10)) AS text FROM documents"
+
+
+def by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose lines are paragraphs."""
+    return documents(spark, sf_dir).select("source_path", F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit("\n\n")).alias("text"))
+
+
+@query(f"WITH {_packed(_BY_LINE)} SELECT source_path, unnest(range(0, len(ps)))::INTEGER AS paragraph_index, unnest(ps) AS text FROM paras")
+def split_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_line(spark, sf_dir).select("source_path", F.posexplode(chunking.split_paragraphs(F.col("text"))).alias("paragraph_index", "text"))
+
+
+@query(f"WITH {_packed(_BY_LINE)} SELECT source_path, chunk_index, text FROM chunks")
+def pack_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.chunk_documents(by_line(spark, sf_dir))
+
+
+def _decoded(x: str) -> str:
+    for name, sign in cleaning.ENTITIES:
+        x = f"replace({x}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+def _marked(x: str) -> str:
+    x = _decoded(f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')")
+    for pattern in ("(?i)</?math>", "(?i)</?(sup|sub|span|b|i|u|em|strong)>", "(?s)<!--.*?-->"):
+        x = f"regexp_replace({x}, '{pattern}', '', 'g')"
+    return x
+
+
+@query(f"""SELECT page_id, {_strip("regexp_replace(" + _marked("coalesce(html, '')") + ", '\\n{4,}', chr(10) || chr(10) || chr(10), 'g')")} || chr(10) AS text FROM pages""")
+def clean_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = dealt(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", cleaning.tidy(cleaning.strip_markup(F.coalesce("html", F.lit("")))).alias("text"))
+
+
+#: Every fifth document gets a site line after its first line, and an index block over what follows; every tenth's block has no end.
+_INJECTED = """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN regexp_replace(coalesce(text, ''), '\\n', chr(10) || 'Dirección en Internet: www.eluniverso.com' || chr(10) || '## INDICE' || chr(10) || 'one .. 1' || chr(10)
+    || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '## EDC more' || chr(10) END) ELSE coalesce(text, '') END AS text FROM documents"""
+
+
+@query(
+    f"""WITH injected AS ({_INJECTED}),
+    ls AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\n')) AS line, unnest(range(0, len(regexp_split_to_array(text, '\\n')))) AS no FROM injected),
+    marked AS (SELECT *, regexp_matches({_strip("line")}, '(?i)^(DIRECCI[ÓOó]N EN INTERNET:)?\\s*www\\.eluniverso\\.com$') AS web, regexp_matches({_strip("line")}, '(?i)^##\\s*INDICE$') AS opens,
+        regexp_matches({_strip("line")}, '(?i)^##\\s*(Ayuda a|EDC|Se increment[óÓ]|Bancomex|Mas provisiones|Recaudaciones|out clausuro)\\b') AS ends FROM ls),
+    state AS (SELECT *, last_value(CASE WHEN opens THEN 1 WHEN ends THEN 0 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS skip FROM marked WHERE NOT web)
+    SELECT i.doc_id, {_strip("regexp_replace(coalesce(s.text, ''), '\\n{4,}', chr(10) || chr(10) || chr(10), 'g')")} || chr(10) AS text FROM injected i
+    LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(line, '\\s+$', ''), chr(10) ORDER BY no) AS text FROM state WHERE coalesce(skip, 0) = 0 GROUP BY doc_id) s ON i.doc_id = s.doc_id"""
+)
+def strip_index_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = F.concat(F.lit("\nDirección en Internet: www.eluniverso.com\n## INDICE\none .. 1\n"), F.when(F.col("doc_id") % 10 == 0, "").otherwise("## EDC more\n"))
+    body, at = F.coalesce("text", F.lit("")), F.instr(F.coalesce("text", F.lit("")), "\n")
+    put = F.when((F.col("doc_id") % 5 == 0) & (at > 0), F.concat(F.left(body, at - 1), block, F.substring(body, at + 1, F.length(body)))).otherwise(body)
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", cleaning.tidy(F.array_join(cleaning.keep_lines(text.lines(put)), "\n")).alias("text"))
+
+
+_VECTOR = "list_transform(embedding, lambda x: x::DOUBLE)"
+
+
+@query(f"SELECT vec_id, round(sqrt(list_inner_product({_VECTOR}, {_VECTOR})), 6) AS norm, list_transform({_VECTOR}, lambda x: round(x / sqrt(list_inner_product({_VECTOR}, {_VECTOR})), 6)) AS embedding FROM embeddings")
+def l2_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("embedding")
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(vectors.norm(v), 6).alias("norm"), F.transform(vectors.normalize(v), lambda x: F.round(x, 6)).alias("embedding"))
+
+
+@query("SELECT len(embedding)::INTEGER AS dimension, count(*) AS vectors FROM embeddings GROUP BY 1")
+def index_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.dimensions(table(spark, sf_dir, "embeddings"))
+
+
+_Q = f"q AS (SELECT {_VECTOR} AS query_vector FROM embeddings WHERE vec_id = 0)"
+
+
+@query(f"WITH {_Q} SELECT vec_id, round(list_inner_product({_VECTOR}, query_vector), 6) AS score FROM embeddings, q ORDER BY list_inner_product({_VECTOR}, query_vector) DESC, vec_id LIMIT 25")
+def knn_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.nearest(table(spark, sf_dir, "embeddings"), asked(spark, sf_dir), 25, key="vec_id")
+    return found.select("vec_id", F.round("base_score", 6).alias("score"))
+
+
+_L2 = f"list_sum(list_transform(list_zip({_VECTOR}, query_vector), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+@query(f"WITH {_Q} SELECT vec_id, round(0.0::DOUBLE - {_L2}, 6) AS score FROM embeddings, q ORDER BY {_L2}, vec_id LIMIT 25")
+def knn_l2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.nearest(table(spark, sf_dir, "embeddings"), asked(spark, sf_dir), 25, metric="l2", key="vec_id")
+    return found.select("vec_id", F.round("base_score", 6).alias("score"))
+
+
+@query("SELECT doc_id, strip_accents(lower(coalesce(text, ''))) AS folded FROM documents")
+def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.fold(F.coalesce("text", F.lit(""))).alias("folded"))
+
+
+_STOP_SQL = "[" + ", ".join(f"'{w}'" for w in search.STOP) + "]"
+
+
+def _qwords(x: str) -> str:
+    """Different words in order."""
+    found = f"list_filter(regexp_extract_all(strip_accents(lower({x})), '[\\p{{L}}\\p{{N}}_]+'), lambda w: len(w) >= 4 AND NOT list_contains({_STOP_SQL}, w))"
+    return f"list_filter({found}, lambda w, i: list_position({found}, w) = i)"
+
+
+@query(f"""SELECT item_id, array_to_string({_qwords("coalesce(text, '')")}, ' ') AS query_words, array_to_string(regexp_extract_all(lower(coalesce(text, '')), '[A-Za-zÁÉÍÓÚÜÑáéíóúüñ0-9]{{3,}}'), ' ') AS interactive_words FROM benchmark""")
+def query_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(search.query_words(t), " ").alias("query_words"), F.array_join(interactive.query_words(t), " ").alias("interactive_words"))
+
+
+_ASKED_WORDS, _INTERACTIVE_WORDS = "['this', 'work', 'licensed', 'politica', 'license', 'general', 'version']", "['this', 'work', 'this', 'license']"
+
+
+def _hits(x: str, words: str) -> str:
+    return f"len(list_filter({words}, lambda w: contains({x}, w)))"
+
+
+@query(f"SELECT doc_id, {_hits("strip_accents(lower(coalesce(text, '')))", _ASKED_WORDS)}::INTEGER AS hits, {_hits("lower(coalesce(text, ''))", _INTERACTIVE_WORDS)}::INTEGER AS interactive_hits FROM documents")
+def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", search.hits(text.fold(t), search.query_words(F.lit(ASKED))).alias("hits"), interactive.hits(t, interactive.query_words(F.lit(INTERACTIVE))).alias("interactive_hits"))
+
+
+def _hit_list(limit: int, where: str = "true", name: str = "") -> str:
+    """CTEs that end in reranked(id, source_path, base, score, hits)."""
+    f = "strip_accents(lower(coalesce(text, '')))"
+    return f"""pool{name} AS (SELECT d.doc_id AS id, d.source AS source_path, coalesce(d.text, '') AS text, list_inner_product({_VECTOR}, query_vector) AS base FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id, q WHERE {where}),
+    nearest{name} AS (SELECT * FROM pool{name} ORDER BY base DESC, id LIMIT {limit}),
+    counted{name} AS (SELECT *, {f} AS f, {_hits(f, _ASKED_WORDS)} AS hits FROM nearest{name}),
+    reranked{name} AS (SELECT id, source_path, text, base, hits, base + 0.03::DOUBLE * hits - CASE WHEN NOT contains(f, 'politic') THEN 0.35::DOUBLE ELSE 0.0 END - CASE WHEN hits < 2 THEN 0.20::DOUBLE ELSE 0.0 END - CASE WHEN hits = 0 THEN 0.10::DOUBLE ELSE 0.0 END
+        - CASE WHEN regexp_matches(f, '(?i)\\b(ing\\.|ministro|ministra|ministerio|obras publicas|comunicaciones|republica|presidente constitucional)\\b') THEN 0.05::DOUBLE ELSE 0.0 END AS score FROM counted{name})"""
+
+
+def _best_docs(name: str = "") -> str:
+    return f"""tiers{name} AS (SELECT *, CASE WHEN hits >= 7 THEN 0 WHEN hits = 6 THEN 1 ELSE 2 END AS tier FROM reranked{name}),
+    own{name} AS (SELECT *, min(tier) OVER (PARTITION BY source_path) AS top FROM tiers{name}),
+    ranked{name} AS (SELECT *, max(score) OVER (PARTITION BY source_path) AS doc_score, row_number() OVER (PARTITION BY source_path ORDER BY score DESC, base DESC, id) AS chunk_rank FROM own{name} WHERE tier = top),
+    docs{name} AS (SELECT source_path, row_number() OVER (ORDER BY doc_score DESC, source_path) AS doc_rank FROM ranked{name} WHERE chunk_rank = 1),
+    best{name} AS (SELECT r.*, doc_rank FROM ranked{name} r JOIN docs{name} USING (source_path) WHERE doc_rank <= 5 AND chunk_rank <= 2)"""
+
+
+_BEST_OUT = "source_path, doc_rank::INTEGER AS doc_rank, round(doc_score, 6) AS doc_score, chunk_rank::INTEGER AS chunk_rank, id, round(score, 6) AS score, hits::INTEGER AS hits"
+
+
+def _shown(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*more, "source_path", "doc_rank", F.round("doc_score", 6).alias("doc_score"), "chunk_rank", "id", F.round("score", 6).alias("score"), "hits")
+
+
+@query(f"WITH {_Q}, {_hit_list(400)} SELECT id, source_path, round(base, 6) AS base_score, hits::INTEGER AS hits, round(score, 6) AS score FROM reranked")
+def rerank_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.reranked(search.nearest(index(spark, sf_dir), asked(spark, sf_dir), search.BEST_CHUNKS), ASKED)
+    return found.select("id", "source_path", F.round("base_score", 6).alias("base_score"), "hits", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_Q}, {_hit_list(400)}, {_best_docs()} SELECT {_BEST_OUT} FROM best")
+def doc_topk_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(search.search_documents(index(spark, sf_dir), ASKED, asked(spark, sf_dir)))
+
+
+_GOOD = _SCORED + ", good AS (SELECT DISTINCT source_path AS good_path FROM kept WHERE keep)"
+
+
+@query(
+    f"""WITH {_GOOD}, {_Q}, {_hit_list(400, "d.doc_id::VARCHAR IN (SELECT good_path FROM good)", "_hq")}, {_best_docs("_hq")}, {_hit_list(700, "true", "_all")}, {_best_docs("_all")},
+    strong AS (SELECT coalesce(max(doc_score) >= 0.45::DOUBLE, false) AS s FROM best_hq)
+    SELECT 'HQ' AS label, {_BEST_OUT} FROM best_hq WHERE (SELECT s FROM strong) UNION ALL SELECT 'ALL' AS label, {_BEST_OUT} FROM best_all WHERE NOT (SELECT s FROM strong)"""
+)
+def hq_all_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = index(spark, sf_dir)
+    good = filter_kept(spark, sf_dir).select(F.col("source_path").cast("long").alias("id")).distinct().persist()  # both branches ask for it
+    return _shown(search.search_with_fallback(every.join(good, "id", "left_semi"), every, ASKED, asked(spark, sf_dir)), "label")
+
+
+_INTERACTIVE_LIST = f"""hit_list AS (SELECT d.doc_id AS id, d.source AS doc_path, coalesce(d.text, '') AS text, list_inner_product({_VECTOR}, query_vector) AS score FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id, q ORDER BY score DESC, id LIMIT 80),
+    linear AS (SELECT *, {_hits("lower(text)", _INTERACTIVE_WORDS)} AS hits, score + 0.08::DOUBLE * {_hits("lower(text)", _INTERACTIVE_WORDS)} AS rerank, CASE WHEN len(text) > 320 THEN left(text, 320) || '…' ELSE text END AS snippet FROM hit_list)"""
+
+
+@query(f"WITH {_Q}, {_INTERACTIVE_LIST} SELECT id::VARCHAR AS chunk_id, doc_path, round(score, 6) AS score, hits::BIGINT AS hits, round(rerank, 6) AS rerank, snippet, (row_number() OVER (ORDER BY rerank DESC, score DESC, id))::INTEGER AS position FROM linear")
+def linear_rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = interactive.interactive_search(index(spark, sf_dir), INTERACTIVE, asked(spark, sf_dir), top=80, dedup=False)
+    return found.select("chunk_id", "doc_path", F.round("score", 6).alias("score"), "hits", F.round("rerank", 6).alias("rerank"), "snippet", "position")
+
+
+_SHINGLES = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))"
+
+
+@query(
+    f"""WITH words AS (SELECT doc_id, {_words("lower(coalesce(text, ''))")} AS w FROM documents), sets AS (SELECT doc_id, {_SHINGLES} AS s FROM words)
+    SELECT a.doc_id, b.doc_id AS next_id, len(a.s)::INTEGER AS n_shingles, CASE WHEN len(a.s) = 0 OR len(b.s) = 0 THEN 0.0::DOUBLE ELSE round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s)))::DOUBLE, 9) END AS jaccard
+    FROM sets a JOIN sets b ON b.doc_id = a.doc_id + 1"""
+)
+def shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document and the next."""
+    each = dealt(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", interactive.shingles(F.coalesce("text", F.lit(""))).alias("s"))
+    after = each.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("next_id"), F.col("s").alias("t"))
+    return each.join(after, "doc_id").select("doc_id", "next_id", F.size("s").alias("n_shingles"), F.round(interactive.jaccard(F.col("s"), F.col("t")), 9).alias("jaccard"))
+
+
+@query(
+    f"""WITH RECURSIVE {_Q}, {_INTERACTIVE_LIST},
+    worded AS (SELECT *, row_number() OVER (ORDER BY rerank DESC, score DESC, id) AS r, {_words("lower(text)")} AS w FROM linear),
+    ranked AS MATERIALIZED (SELECT *, {_SHINGLES} AS sh FROM worded),
+    near AS MATERIALIZED (SELECT a.r, b.r AS other FROM ranked a JOIN ranked b ON b.r < a.r WHERE len(a.sh) > 0 AND len(b.sh) > 0 AND len(list_intersect(a.sh, b.sh)) / len(list_distinct(list_concat(a.sh, b.sh)))::DOUBLE >= 0.6::DOUBLE),
+    greedy AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS kept, []::VARCHAR[] AS docs UNION ALL
+        SELECT g.r + 1, CASE WHEN ok THEN list_append(kept, g.r + 1) ELSE kept END, CASE WHEN ok THEN list_append(docs, doc_path) ELSE docs END
+        FROM (SELECT g.*, x.doc_path, len(list_filter(g.docs, lambda d: d = x.doc_path)) < 6 AND NOT EXISTS (SELECT 1 FROM near n WHERE n.r = x.r AND list_contains(g.kept, n.other)) AS ok FROM greedy g JOIN ranked x ON x.r = g.r + 1) g)
+    SELECT x.id::VARCHAR AS chunk_id, x.doc_path, round(x.rerank, 6) AS rerank, f.position::INTEGER AS position FROM (SELECT unnest(kept) AS r, unnest(range(1, len(kept) + 1)) AS position FROM (SELECT kept FROM greedy ORDER BY r DESC LIMIT 1)) f JOIN ranked x USING (r)"""
+)
+def greedy_dedup_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = interactive.interactive_search(index(spark, sf_dir), INTERACTIVE, asked(spark, sf_dir), top=80, similar=0.6, per_doc=6)
+    return found.select("chunk_id", "doc_path", F.round("rerank", 6).alias("rerank"), "position")

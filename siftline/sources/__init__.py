@@ -1,0 +1 @@
+"""Readers and writers of what the stages exchange."""
