@@ -1,16 +1,73 @@
-"""A corpus from raw documents to checked tokens, stage by stage."""
+"""A corpus from raw documents to checked tokens, stage by stage.
+
+Every stage takes what its predecessor kept, whole, and what it decides takes effect: rows that it drops are gone for all later stages. All stages
+but the last return the columns of documents as they came. Null ids and texts, repeated rows and empty tables are as the operators say.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siftline.llm import quality
+from siftline.llm.common import spread, table, text_of, written
+from siftline.llm.decontamination import contamination
+from siftline.llm.exact_dedup import digest, exact_duplicates
+from siftline.llm.near_dedup import near_duplicates
+from siftline.llm.pieces import vocabulary
+from siftline.llm.sentencepieces import encoded
+
+#: Documents scored lower are rejected.
+GOOD = 0.3
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Good documents, by a classifier of the labelled ones that aren't held out."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    return spread(docs).where(quality.score_column(model) >= GOOD)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document of the largest id."""
+    found = exact_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest(text_of()) == F.col("_digest"))
+    return docs.join(written(found, "copies"), same, "left_anti")
+
+
+def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows whose id isn't among ``ids`` (long _id)."""
+    return docs.join(written(ids.distinct(), name), F.col("doc_id") == F.col("_id"), "left_anti")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document of the smallest id."""
+    return _without(docs, near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("_id")), "near")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id")), "leaks")
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256, decoded."""
+    return encoded(docs, vocabulary("piece_bpe_32k.model"))
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", classify),
+    ("exact dedup", drop_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("SentencePiece encoding and decoding", tokenize),
+]
+#: No stage but exact dedup can be told in SQL; tests/llm/test_pipeline.py holds the rows against a brute-force pipeline.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of documents."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the whole of documents, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -108,3 +108,17 @@ def scored(docs: DataFrame, model: Quality) -> DataFrame:
 
     source = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
     return source.mapInArrow(run, "doc_id long, score double")
+
+
+def score_column(model: Quality) -> Column:
+    """The score of the column text, for filters that need the whole row. Null counts as empty."""
+    import pandas as pd
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m = model.ready()
+        for texts in parts:
+            found = [m.score(np.array([m.features(t) for t in texts[i : i + 1000]])) for i in range(0, len(texts), 1000)]
+            yield pd.Series(np.concatenate(found) if found else np.empty(0))
+
+    run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, "double")(text_of())

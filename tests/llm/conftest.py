@@ -7,15 +7,6 @@ import pytest
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    found = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.host", "127.0.0.1").getOrCreate()
-    found.sparkContext.setLogLevel("ERROR")
-    return found
-
-
 @pytest.fixture(scope="session")
 def frame(spark):
     """(id, text) rows to a documents table, with columns whose names the operators use inside."""
