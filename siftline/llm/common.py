@@ -72,7 +72,7 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
 class WordHashes(dict):
     """Word bytes to a 64-bit hash; emptied when full, so that its memory is bounded."""
 
-    LIMIT = 1_000_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
