@@ -20,6 +20,21 @@ class Tokenizer(Protocol):
     def decode(self, ids: list[int]) -> str: ...
 
 
+def resolve_tokenizer(name: str) -> Callable[[], Tokenizer] | None:
+    """A maker of the named tiktoken encoding, or None, which means words, where the library or the encoding's file can't be had."""
+
+    def make() -> Tokenizer:
+        import tiktoken
+
+        return tiktoken.get_encoding(name)
+
+    try:
+        make()
+    except Exception:  # whatever goes wrong, words are counted instead
+        return None
+    return make
+
+
 def count_words(c: Column) -> Column:
     return F.size(words(c))
 

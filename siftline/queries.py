@@ -385,3 +385,22 @@ def shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def greedy_dedup_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = interactive.interactive_search(index(spark, sf_dir), INTERACTIVE, asked(spark, sf_dir), top=80, similar=0.6, per_doc=6)
     return found.select("chunk_id", "doc_path", F.round("rerank", 6).alias("rerank"), "position")
+
+
+@query(f"WITH {_CHUNKS} SELECT source_path || '::#' || chunk_index AS id, source_path, chunk_index FROM chunks")
+def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks(spark, sf_dir).select(F.concat_ws("::#", "source_path", F.col("chunk_index").cast("string")).alias("id"), "source_path", "chunk_index")
+
+
+@query("SELECT doc_id, replace(left(coalesce(text, ''), 500), chr(10), ' ') AS preview, CASE WHEN len(text) > 320 THEN left(text, 320) || '…' ELSE coalesce(text, '') END AS snippet FROM documents")
+def previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", text.preview(t).alias("preview"), text.snippet(t).alias("snippet"))
+
+
+@query(f"WITH {_Q}, {_hit_list(400)}, {_best_docs()} SELECT b.source_path, b.id, left(d.text, 6000) AS full_text FROM best b JOIN documents d ON d.doc_id = b.id")
+def hit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The beginnings of the texts of a search's hits."""
+    found = search.search_documents(index(spark, sf_dir), ASKED, asked(spark, sf_dir)).select(F.col("source_path").alias("source"), F.col("id").cast("string").alias("source_path"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_path"), "text")
+    return search.full_text(found, docs).select(F.col("source").alias("source_path"), F.col("source_path").cast("long").alias("id"), "full_text")

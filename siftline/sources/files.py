@@ -38,6 +38,11 @@ def write_markdown(df: DataFrame, path: str, key: str = "source_path", text: str
     df.select(F.col(key), F.col(text)).write.mode("overwrite").parquet(path)
 
 
+def write_documents_as_files(df: DataFrame, path: str, key: str = "source_path", text: str = "text") -> None:
+    """A folder named after each document, with its text in it; for the few thousand documents that people look at."""
+    df.select(F.col(key).alias("document"), F.col(text).alias("value")).repartition("document").write.mode("overwrite").partitionBy("document").text(path)
+
+
 def read_chunk_lines(spark: SparkSession, path: str) -> DataFrame:
     """Chunk records, with is_blank for lines that hold none; these count as dropped. A missing text is empty, a missing key stops the job."""
     raw = spark.read.text(path).select(F.col("value"), (strip(F.col("value")) == "").alias("is_blank"))

@@ -109,6 +109,10 @@ def test_chunks_of_tokens(spark):
     assert chunking.pack_tokens(["x" * 501], Letters(), 500, 0) == ["x" * 500, "x"]
 
 
+def test_tokenizer_that_is_not_there():
+    assert chunking.resolve_tokenizer("no such encoding") is None
+
+
 # --- filtering ---
 
 

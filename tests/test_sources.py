@@ -54,6 +54,8 @@ def test_writers(spark, tmp_path):
     files.write_report(filtering.full_report(filtering.judged(chunks)), f"{tmp_path}/report")
     assert files.read_report(spark, f"{tmp_path}/report").first()["dropped"] == 2
     assert files.read_report(spark, f"{tmp_path}/nowhere") is None
+    files.write_documents_as_files(spark.createDataFrame([("a.md", "x\ny")], "source_path string, text string"), f"{tmp_path}/each")
+    assert next((tmp_path / "each/document=a.md").glob("*.txt")).read_text() == "x\ny\n"
     files.write_markdown(chunks, f"{tmp_path}/markdown")
     assert spark.read.parquet(f"{tmp_path}/markdown").count() == 2
 
