@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +13,7 @@ import regex
 
 #: A space that nothing white precedes or follows always begins a pre-token, so text may be cut before it.
 _WIDE = re.compile(r"\s |\s\Z| \s|\A ")
-LIMIT, LONG = 1_000_000, 64
+LIMIT, LONG = 300_000, 64
 #: Characters whose class isn't the same in all regex libraries; a piece with one is left to the tokenizer whole.
 _ODD = regex.compile(r"[^\p{L}\x00-\x1b\x20-\x7f]")
 _PRETOKENS = regex.compile(public_tokenizers.PATTERN)
@@ -24,6 +26,7 @@ def byte_characters() -> dict[int, str]:
 
 
 BYTE_CHARACTERS = byte_characters()
+SPACE = BYTE_CHARACTERS[32]
 
 
 def odd(piece: str) -> bool:
@@ -50,51 +53,96 @@ def cut(text: str) -> tuple[str, list[str]]:
     return out[0], out[1:]
 
 
-class Encoder(dict):
-    """Piece to its ids as bytes. New pre-tokens are encoded by the library's model; both memories are emptied when full, so they are bounded."""
+def lines(text: str) -> list[str]:
+    """A text without the newlines between other than white characters: each of these is a pre-token of its own, and so no token crosses it."""
+    found = text.split("\n")
+    if len(found) > 1 and not all(x and not x[0].isspace() and not x[-1].isspace() for x in found):
+        out = [found[0]]
+        for x in found[1:]:
+            last = out[-1]
+            if not x or x[0].isspace() or not last or last[-1].isspace():
+                out[-1] = f"{last}\n{x}"
+            else:
+                out.append(x)
+        return out
+    return found
+
+
+def parts(line: str) -> tuple[str, list[str]]:
+    """``cut``, by a quick way where no other white space than single spaces is in a line."""
+    found = line.split(" ")
+    return (found[0], found[1:]) if found == line.split() else cut(line)
+
+
+class Memory(dict):
+    """What ``make`` gives for a short key, remembered. Emptied when full, so its memory is bounded; from then on a key is remembered from the
+    second time, as most different words of a large corpus occur once."""
+
+    def __init__(self, make=None):
+        super().__init__()
+        gc.set_threshold(500_000, 20, 20)  # what is remembered has no cycles; looking for some in it takes a tenth of the time
+        self.make, self.met = make, None
+
+    def __missing__(self, key: str):
+        return self.keep(key, self.make(key))
+
+    def keep(self, key: str, found):
+        if len(key) <= LONG:
+            if len(self) >= LIMIT:
+                self.clear()
+                self.met = bytearray(1 << 20)
+            if self.met is None or self.met[at := hash(key) & 0xFFFFF]:
+                self[key] = found
+            else:
+                self.met[at] = 1
+        return found
+
+
+class Encoder:
+    """Texts to ids. What pieces and pre-tokens become is remembered; new ones are encoded by the library's model."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.tokens: dict[str, bytes] = {}
+        self.tokens = Memory(self.pretoken)
+        self.first, self.spaced = Memory(self.piece), Memory(self.word)
+        self.newline = self.pretoken("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def ids(self, t: str) -> bytes:
+        """Of one pre-token, its bytes written as characters of the vocabulary."""
+        return array(self.code, [x.id for x in self.tokenize(t)]).tobytes()
+
     def pretoken(self, t: str) -> bytes:
-        width = self.dtype.itemsize
-        ids = b"".join([x.id.to_bytes(width, "little") for x in self.model.tokenize(t.encode().decode("latin-1").translate(BYTE_CHARACTERS))])
-        if len(t) <= LONG:
-            if len(self.tokens) >= LIMIT:
-                self.tokens.clear()
-            self.tokens[t] = ids
-        return ids
+        return self.ids(t.encode().decode("latin-1").translate(BYTE_CHARACTERS))
+
+    def word(self, rest: str) -> bytes:
+        """A piece after a space. Letters alone are one pre-token."""
+        if rest.isalpha():
+            return self.ids(SPACE + rest) if rest.isascii() else self.pretoken(" " + rest)
+        return self.piece(" " + rest)
 
     def piece(self, piece: str) -> bytes:
         if odd(piece):
             return self.whole(piece)
-        known = self.tokens.get
-        return b"".join([known(t) or self.pretoken(t) for t in pretokens(piece)])
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.piece(" " + piece)
-        if len(piece) <= LONG:
-            if len(self) >= LIMIT:
-                self.clear()
-            self[piece] = ids
-        return ids
+        return b"".join([self.spaced[t[1:]] if t[0] == " " and t[1:].isalpha() else self.tokens[t] for t in pretokens(piece)])
 
     def encode(self, text: str) -> np.ndarray:
         """Exactly the ids of the library; a text with a special string goes to it whole."""
         if any(s in text for s in self.specials):
             return np.frombuffer(self.whole(text), self.dtype)
-        head, rest = cut(text)
-        return np.frombuffer(self.piece(head) + b"".join(map(self.__getitem__, rest)), self.dtype)
+        spaced, out = self.spaced.__getitem__, []
+        for line in lines(text):
+            head, rest = parts(line)
+            out.append(b"".join([self.first[head], *map(spaced, rest)]))
+        return np.frombuffer(self.newline.join(out), self.dtype)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -2,7 +2,8 @@
 
 Encoding keeps an agenda of adjacent symbol pairs that are pieces, ordered by score, then by place, and merges the first until none is left.
 Where no piece has a word sign after another character, merges never cross a word's start, so texts are cut there; each new word is encoded
-by the agenda, decoded, and checked against the sentencepiece library, then kept in the worker's memory.
+by the agenda and decoded, then kept in the worker's memory. What was new in an Arrow batch is checked against the sentencepiece library
+before the batch is passed on.
 """
 
 from __future__ import annotations
@@ -11,27 +12,32 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.common import arrow_rows, spread, text_of
+from siftline.llm.pieces import Memory
 
 SIGN = "▁"
-LIMIT, LONG = 1_000_000, 64
+#: Characters of a part up to which its agenda is a row of a table, worked through together with the rows of the batch's other new parts; a
+#: longer one has a heap of its own. Rows of such a table at most.
+SHORT, ROWS = 32, 20_000
+_NONE, _GONE = np.int32(2**31 - 1), -(2**31)
 _RUNS = re.compile(f"{SIGN}+[^{SIGN}]*")
 Word = tuple[bytes, int, str]
 
 
-class Pieces(dict):
-    """Word without its sign to (decimal ids, each after a space; their number; decoded text). Emptied when full, so memory is bounded."""
+class Pieces:
+    """Words to (decimal ids, each after a space; their number; decoded text)."""
 
     def __init__(self, path: str):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
-        super().__init__()
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
@@ -44,13 +50,23 @@ class Pieces(dict):
         self.rank = {p.piece: place[-p.score] for p in model.pieces if p.type == 1}
         #: characters that stand side by side in some piece; between others nothing is ever merged
         self.side = {p.piece[i : i + 2] for p in model.pieces if p.type == 1 for i in range(len(p.piece) - 1)}
-        self.parts: dict[str, Word] = {}
+        #: words and their parts; a part is encoded as the word of the same text
+        self.known = Memory()
+        self.new: list[tuple[str, list[int], str]] = []
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
         self.byte_of = {i: b for b, i in self.byte_id.items()}
         self.text = [p.piece if p.type == 1 else "" for p in model.pieces]
+        self.decimal = [b" %d" % i for i in range(len(self.text))]
+        made = sorted((x * len(self.text) + y, self.rank[p], i) for p, i in self.id.items() for at in range(1, len(p)) if (x := self.id.get(p[:at])) is not None and (y := self.id.get(p[at:])) is not None)
+        self.pairs, self.pair_rank, self.pair_id = np.array([m[0] for m in made], np.int64), np.array([m[1] for m in made], np.int32), np.array([m[2] for m in made], np.int32)
+        single = {ord(p): i for p, i in self.id.items() if len(p) == 1}
+        self.of_point = np.full(max(single) + 2, -1, np.int32)
+        self.of_point[list(single)] = list(single.values())
         self.end = trained.eos_id
+        self.last_byte = max(self.byte_of)
         self.by_word = not any(SIGN in p.lstrip(SIGN) for p in self.id)
+        self.by_line = self.by_word and not any("\n" in p for p in self.id)
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def agenda(self, text: str) -> list[int]:
@@ -76,19 +92,57 @@ class Pieces(dict):
             c = left[a]
             if c >= 0 and (r := rank.get(symbols[c] + x)) is not None:
                 push(heap, r << 72 | c << 42 | a << 12 | len(x) + len(symbols[c]))
-        out: list[int] = []
-        ids = self.id
-        for s in symbols:
-            if s:
-                i = ids.get(s)
+        ids, out = self.id, []
+        for x in symbols:
+            if x:
+                i = ids.get(x)
                 if i is None:
-                    out += [self.byte_id[b] for b in s.encode()]
+                    out += [self.byte_id[b] for b in x.encode()]
                 else:
                     out.append(i)
         return out
 
+    def pair(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, id) of what two symbols make together; the rank is _NONE where that is no piece."""
+        key = np.where((x >= 0) & (y >= 0), x.astype(np.int64) * len(self.text) + y, -1)
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.pair_rank[at], _NONE), self.pair_id[at]
+
+    def table(self, texts: list[str]) -> list[list[int]]:
+        """``agenda`` of texts of one length, all at once: of each row the first pair of the best rank is merged, round by round."""
+        n = len(texts[0])
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int32).reshape(-1, n)
+        symbols = self.of_point[np.minimum(points, len(self.of_point) - 1)]
+        symbols = np.where(symbols < 0, -1 - points, symbols)
+        after, before = np.tile(np.arange(1, n + 1), (len(texts), 1)), np.tile(np.arange(-1, n - 1), (len(texts), 1))
+        ranks, made = np.full(symbols.shape, _NONE), np.zeros(symbols.shape, np.int32)
+        ranks[:, :-1], made[:, :-1] = self.pair(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(texts))
+        while len(rows):
+            own = ranks[rows]
+            i = own.argmin(axis=1)
+            more = own[np.arange(len(rows)), i] < _NONE
+            rows, i = rows[more], i[more]
+            j = after[rows, i]
+            symbols[rows, i], symbols[rows, j] = made[rows, i], _GONE
+            k, h = after[rows, j], before[rows, i]
+            after[rows, i], ranks[rows, i], ranks[rows, j] = k, _NONE, _NONE
+            on = k < n
+            before[rows[on], k[on]] = i[on]
+            for ok, left, right in ((on, i, k), (h >= 0, h, i)):
+                r, u, v = rows[ok], left[ok], right[ok]
+                ranks[r, u], made[r, u] = self.pair(symbols[r, u], symbols[r, v])
+        alive = symbols != _GONE
+        flat, ends = symbols[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+        found = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        for r in np.flatnonzero((alive & (symbols < 0)).any(axis=1)).tolist():
+            found[r] = [x for i in found[r] for x in ((i,) if i >= 0 else [self.byte_id[b] for b in chr(-1 - i).encode()])]
+        return found
+
     def decode(self, ids: list[int]) -> str:
         """Pieces and runs of bytes to text, signs still in it; control ids give nothing."""
+        if ids and min(ids) > self.last_byte:
+            return "".join(map(self.text.__getitem__, ids))
         parts, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -100,49 +154,71 @@ class Pieces(dict):
                 parts.append(self.text[i])
         return "".join([*parts, raw.decode("utf-8", "replace")])
 
-    def checked(self, text: str, before: str) -> Word:
-        """A part by the agenda; the library must give the same after ``before``, a character that it never merges with this part."""
-        ids = self.agenda(text)
-        before = before or ("a" if self.by_word else "")
-        if self.library.encode((before + text if before else text[1:]).replace(SIGN, " "))[-len(ids) :] != ids:
-            raise AssertionError(f"the agenda and the sentencepiece library differ on {text!r}")
-        return b"".join([b" %d" % i for i in ids]), len(ids), self.decode(ids)
-
-    def word(self, text: str) -> Word:
-        """Cut where no piece goes across, as before most punctuation marks."""
-        side, cuts = self.side, [0]
-        cuts += [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in side]
-        found = []
-        for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True):
-            part = text[a:b]
-            got = self.parts.get(part)
-            if got is None:
-                got = self.checked(part, text[a - 1] if a else "")
-                if len(part) <= LONG:
-                    if len(self.parts) >= LIMIT:
-                        self.parts.clear()
-                    self.parts[part] = got
-            found.append(got)
-        return found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), sum([f[1] for f in found]), "".join([f[2] for f in found]))
-
-    def __missing__(self, rest: str) -> Word:
-        found = self.word(SIGN + rest)
-        if len(rest) <= LONG:
-            if len(self) >= LIMIT:
-                self.clear()
-            self[rest] = found
-        return found
+    def learn(self, parts: set[str]) -> dict[str, Word]:
+        """New parts, each with a character before it that it never merges with, or where it begins a text, none."""
+        out: dict[str, Word] = {}
+        decimal = self.decimal.__getitem__
+        for n, group in groupby(sorted(parts, key=len), len):
+            same = list(group)
+            for at in range(0, len(same), ROWS):
+                some = same[at : at + ROWS]
+                for text, ids in zip(some, self.table(some) if n <= SHORT else map(self.agenda, some), strict=True):
+                    decoded = self.decode(ids)
+                    self.new.append((text, ids, decoded))
+                    out[text] = (b"".join(map(decimal, ids)), len(ids), decoded)
+        return out
 
-    def encode(self, text: str) -> list[Word]:
-        if not text:
-            return []
-        signed = text.replace(" ", SIGN)
+    def check(self) -> None:
+        """Holds what was new since the last check against the library, both ways. Before a part stands what it never merges with."""
+        if not self.new:
+            return
+        texts, ids, decoded = zip(*self.new, strict=True)
+        before = "a" if self.by_word else ""
+        told = self.library.encode([("\n" + t if t[0] != SIGN else before + t if before else t[1:]).replace(SIGN, " ") for t in texts], num_threads=1)
+        back = self.library.decode(list(ids), num_threads=1)
+        for text, own, theirs, mine, said in zip(texts, ids, told, decoded, back, strict=True):
+            if theirs[-len(own) :] != own or said != (mine[1:] if text[0] == SIGN else mine).replace(SIGN, " "):
+                raise AssertionError(f"the agenda and the sentencepiece library differ on {text!r}")
+        self.new.clear()
+
+    def cut(self, word: str) -> list[str]:
+        """Parts of a word between which no piece goes across, as before most punctuation marks."""
+        if word[1:].isalpha():
+            return [word]
+        side = self.side
+        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in side), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def words_of(self, text: str) -> list[str]:
+        """The words with their signs; a text without a word sign inside is one."""
+        signed = SIGN + text.replace(" ", SIGN)
         if not self.by_word:
-            return [self.word(SIGN + signed)]
-        rest = signed.split(SIGN)
-        if "" in rest:
-            return [self[w[1:]] for w in _RUNS.findall(SIGN + signed)]
-        return list(map(self.__getitem__, rest))
+            return [signed]
+        out: list[str] = []
+        for k, line in enumerate(signed.split("\n") if self.by_line else [signed]):
+            first, *rest = line.split(SIGN)
+            if k:
+                out.append("\n")
+            if first:
+                out.append(first)
+            out += _RUNS.findall(line) if "" in rest else [SIGN + w for w in rest]
+        return out
+
+    def encode_batch(self, texts: list[str]) -> list[list[Word]]:
+        """The words of each text. New ones of all texts are worked out together; then they are checked."""
+        words = [self.words_of(t) if t else [] for t in texts]
+        fresh = {w: self.cut(w) for w in set().union(*words).difference(self.known)}
+        got = self.learn({p for ps in fresh.values() for p in ps}.difference(self.known))
+        self.check()
+        known = self.known
+        for w, ps in fresh.items():
+            if w not in got and len(ps) > 1:
+                found = [got.get(p) or known[p] for p in ps]
+                got[w] = (b"".join([f[0] for f in found]), sum([f[1] for f in found]), "".join([f[2] for f in found]))
+        out = [[got.get(w) or known[w] for w in ws] for ws in words] if got else [list(map(known.__getitem__, ws)) for ws in words]
+        for k, v in got.items():
+            known.keep(k, v)
+        return out
 
 
 _MODELS: dict[str, Pieces] = {}
@@ -161,8 +237,7 @@ def _run(path: str, keep_ids: bool):
         tail = b" %d" % model.end
         for b in arrow_rows(batches, 1000):
             n, shas, texts, all_ids = [], [], [], []
-            for text in b.column(1).to_pylist():
-                words = model.encode(text)
+            for words in model.encode_batch(b.column(1).to_pylist()):
                 raw = (b"".join([w[0] for w in words]) + tail)[1:]
                 n.append(sum([w[1] for w in words]) + 1)
                 shas.append(hashlib.sha256(raw).hexdigest())
