@@ -17,16 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.common import arrow_rows, spread, text_of
-from siftline.llm.pieces import BYTE_CHARACTERS, LIMIT, LONG, cut, odd, pretokens
+from siftline.llm.pieces import BYTE_CHARACTERS, LIMIT, Memory, cut, lines, odd, parts, pretokens
 
 
-class PrefixCounts(dict):
-    """Piece without its leading space to the token counts of the prefixes of " " + piece: one for each character, the last is the total."""
+class PrefixCounts:
+    """tokens: pre-token to the counts of its prefixes, one for each character, the last is the total. first, spaced: piece at a line's start,
+    and after a space, to its total."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         with open(path, encoding="utf-8") as f:
             told = json.load(f)
         model = told["model"]
@@ -51,7 +51,7 @@ class PrefixCounts(dict):
         self.longest = max(map(len, self.order))
         self.proven: dict[bytes, int] = {}
         self.stable: dict[int, bool] = {}
-        self.tokens: dict[str, tuple[int, ...]] = {}
+        self.tokens, self.first, self.spaced = Memory(self.pretoken), Memory(self.total), Memory(lambda rest: self.total(" " + rest))
         self.tokenizer = Tokenizer.from_file(path)
 
     def merged(self, text: bytes) -> list[int]:
@@ -113,21 +113,16 @@ class PrefixCounts(dict):
         return counts[1:]
 
     def pretoken(self, t: str) -> tuple[int, ...]:
-        found = self.tokens.get(t)
-        if found is None:
-            counts = self.run(t.encode())
-            found = tuple(counts) if t.isascii() else tuple(counts[at - 1] for at in np.cumsum([len(c.encode()) for c in t]))
-            if len(t) <= LONG:
-                if len(self.tokens) >= LIMIT:
-                    self.tokens.clear()
-                self.tokens[t] = found
-        return found
+        counts = self.run(t.encode())
+        return tuple(counts) if t.isascii() else tuple(counts[at - 1] for at in np.cumsum([len(c.encode()) for c in t]))
 
     def total(self, piece: str) -> int:
         """Tokens of a piece, without its prefixes'."""
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self.tokens[piece][-1]
         if odd(piece):
             return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        return sum(self.pretoken(t)[-1] for t in pretokens(piece))
+        return sum([self.tokens[t][-1] for t in pretokens(piece)])
 
     def prefixes(self, piece: str) -> list[int]:
         """Counts of all prefixes of a piece that begins a text or stands after a cut."""
@@ -138,22 +133,14 @@ class PrefixCounts(dict):
         for t in pretokens(piece):
             if t[-1].isspace() or t[0] == "'" or (before and before[-1].isspace()):
                 # a prefix may end inside white space or an apostrophe's ending, where it is split otherwise than the whole
-                base = done - (self.pretoken(before)[-1] if before else 0)
+                base = done - (self.tokens[before][-1] if before else 0)
                 out += [base + self.total(before + t[: i + 1]) for i in range(len(t))]
             else:
-                out += [done + c for c in self.pretoken(t)]
-            done += self.pretoken(t)[-1]
+                out += [done + c for c in self.tokens[t]]
+            done += self.tokens[t][-1]
             before = t
         return out
 
-    def __missing__(self, rest: str) -> int:
-        found = self.total(" " + rest)
-        if len(rest) <= LONG:
-            if len(self) >= LIMIT:
-                self.clear()
-            self[rest] = found
-        return found
-
     def _split(self, text: str) -> list[str]:
         """A text at its special strings: odd members are special."""
         import re
@@ -163,8 +150,14 @@ class PrefixCounts(dict):
     def count(self, text: str) -> int:
         if any(s in text for s in self.specials):
             return sum(1 if i % 2 else self.count(x) for i, x in enumerate(self._split(text)) if x)
-        head, rest = cut(text)
-        return (self.total(head) if head else 0) + sum(map(self.__getitem__, rest))
+        if not text:
+            return 0
+        spaced, first, found = self.spaced.__getitem__, self.first, lines(text)
+        total = len(found) - 1  # a newline between lines is a token
+        for line in found:
+            head, rest = parts(line)
+            total += (first[head] if head else 0) + sum(map(spaced, rest))
+        return total
 
     def every(self, text: str) -> np.ndarray:
         """The count of text[: i + 1] at i, for each character."""
@@ -181,12 +174,12 @@ class PrefixCounts(dict):
                     base, before = base + self.count(x), x
             return np.concatenate(out) if out else np.empty(0, np.int64)
         head, rest = cut(text)
-        parts, done = ([np.array(self.prefixes(head))] if head else []), self.total(head) if head else 0
+        found, done = ([np.array(self.prefixes(head))] if head else []), self.total(head) if head else 0
         for x in rest:
-            found = self.prefixes(" " + x)
-            parts.append(np.array(found) + done)
-            done += found[-1]
-        return np.concatenate(parts) if parts else np.empty(0, np.int64)
+            own = self.prefixes(" " + x)
+            found.append(np.array(own) + done)
+            done += own[-1]
+        return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
 _COUNTS: dict[str, PrefixCounts] = {}
