@@ -150,7 +150,7 @@ def tiled(members: DataFrame, sets: DataFrame, percent: int, block: int = 256) -
     """
     counts = members.groupBy("key", "component").agg(F.count("*").alias("c"))
     top = counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("total")).select("key", F.col("top.component").alias("main"), F.ceil(F.col("total") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("top.c")) / block).cast("int").alias("ob")).where("ob > 0")
-    m = members.join(top, "key").withColumn("at", F.xxhash64("id"))
+    m = members.join(written(top, "top"), "key").withColumn("at", F.xxhash64("id"))
     odd = m.where("component <> main").select("key", "id", "component", F.expr("cast(pmod(at, ob) as int)").alias("o"), F.explode(F.expr("sequence(0, nb - 1)")).alias("b"), F.lit(True).alias("odd"))
     every = m.select("key", "id", "component", F.explode(F.expr("sequence(0, ob - 1)")).alias("o"), F.expr("cast(pmod(at, nb) as int)").alias("b"), F.lit(False).alias("odd"))
     rows = odd.unionByName(every).join(sets, "id")
@@ -172,7 +172,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     classes = whole.groupBy("h1", "h2", "n").agg(F.min("id").alias("class"))
     firsts = whole.join(classes.select(F.col("class").alias("id"), "h1", "h2", "n"), ["id", "h1", "h2", "n"]).select("id", F.explode("bands").alias("key"))
     shared = firsts.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
-    members = written(firsts.join(shared, "key").select("key", "id", "first"), "members")
+    # a table of its own, here and below: a hot key's rows can only be split among tasks where both sides of the join are read from a shuffle
+    members = written(firsts.join(written(shared, "shared"), "key").select("key", "id", "first"), "members")
     ids = members.select("id").distinct()
     placed = whole.join(classes, ["h1", "h2", "n"]).select("id", "class")
     several = placed.groupBy("id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
@@ -183,10 +184,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     reach = components(links)
     for step in ("stars", "tiles"):
         placed = members.join(reach, "id", "left").select("key", "id", "first", F.coalesce("component", "id").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        placed = written(placed.join(mixed, "key"), "placed")
-        if placed.isEmpty():
+        mixed = written(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key"), "mixed")
+        if mixed.isEmpty():
             break
+        placed = written(placed.join(mixed, "key"), "placed")
         if step == "stars":
             heads = placed.where("id = first").select(F.col("id").alias("b"), F.col("component").alias("other")).distinct()
             more = placed.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"), "component").distinct().join(heads, "b").where("component <> other").select("a", "b")
