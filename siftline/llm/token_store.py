@@ -22,19 +22,40 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import arrow_rows, drop_written, grams, mix, spread, text_of, written
+from siftline.llm.common import arrow_rows, drop_written, mix, spread, text_of, written
 from siftline.llm.pieces import encoder
 
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 2048
 RECIPE = "array<struct<digest binary, n int>>"
-_SEEN = 500_000
+_SEEN = 200_000
 #: Digests that several tasks have met, up to which their table is broadcast (24 bytes each).
 BROADCAST_DIGESTS = 200_000
 
 
+_FACTOR = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_FACTOR to the powers 0, 1, ... and to their negatives, modulo 2**64; kept for as long inputs as there were."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(16, n.bit_length())
+        _POWERS[:] = [np.cumprod(np.append(np.uint64(1), np.full(size - 1, f, np.uint64))) for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def marks(ids: np.ndarray, window: int = WINDOW, mean: int = MEAN) -> np.ndarray:
-    """Ends of the windows whose rolling hash is 0 modulo ``mean``, in ids of any number of documents one after the other."""
-    return np.flatnonzero((grams(mix(ids.astype(np.uint64)), window) & np.uint64(mean - 1)) == 0) + window
+    """Ends of the windows whose rolling hash has zero high bits, one of ``mean`` (a power of 2), in ids of any documents one after the other.
+
+    The hash is a polynomial of the window's ids modulo 2**64; differences of running sums give it for all windows at once."""
+    if len(ids) < window:
+        return np.empty(0, np.int64)
+    up, down = powers(len(ids))
+    total = np.cumsum(mix(np.arange(1 << 16, dtype=np.uint64))[ids] * down if ids.dtype.itemsize == 2 else mix(ids.astype(np.uint64)) * down)
+    rolled = total[window - 1 :].copy()
+    rolled[1:] -= total[:-window]
+    rolled *= up[: len(rolled)]
+    return np.flatnonzero(rolled >> np.uint64(65 - mean.bit_length()) == 0) + window
 
 
 def cuts(size: int, marks: list[int], least: int = LEAST, most: int = MOST) -> list[int]:
@@ -96,35 +117,39 @@ def crc_shift(crc: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
 def _encode(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seen, task, number = encoder(path), set(), TaskContext.get().partitionId() << 40, 0
-        kind = pa.list_(pa.struct([("digest", pa.binary()), ("n", pa.int32())]))
-        fresh_kind = pa.list_(pa.struct([("digest", pa.binary()), ("place", pa.int64()), ("ids", pa.binary())]))
         tail = np.array([end], enc.dtype)
         for b in arrow_rows(batches, 1000):
-            n, roots, recipes, fresh = [], [], [], []
             each = [x for t in b.column(1).to_pylist() for x in (enc.encode(t), tail)]
             joined = np.concatenate(each) if each else tail[:0]
-            wide, all_marks, start = joined.astype("<u4"), marks(joined), 0
-            for ids in each[::2]:
-                size = len(ids) + 1
-                lo, hi = np.searchsorted(all_marks, (start, start + size), "right")
-                at, recipe, new = start, [], []
-                for to in cuts(size, (all_marks[lo:hi] - start).tolist()):
+            wide, sizes = joined.astype("<u4"), np.array([len(x) + 1 for x in each[::2]], np.int64)
+            ends, all_marks = np.cumsum(sizes), marks(joined)
+            bounds = np.searchsorted(all_marks, np.append(0, ends), "right").tolist()
+            roots, count, digests, lengths, fresh_count, fresh, places, raw, start = [], [0], [], [], [0], [], [], [], 0
+            for i, size in enumerate(sizes.tolist()):
+                at, own = start, []
+                for to in cuts(size, (all_marks[bounds[i] : bounds[i + 1]] - start).tolist()):
                     to += start
                     digest = hashlib.blake2b(wide[at:to], digest_size=16).digest()
-                    recipe.append({"digest": digest, "n": to - at})
+                    own.append(digest)
+                    lengths.append(to - at)
                     if digest not in seen:
                         if len(seen) >= _SEEN:
                             seen.clear()
                         seen.add(digest)
-                        new.append({"digest": digest, "place": task + number, "ids": joined[at:to].tobytes()})
+                        fresh.append(digest)
+                        places.append(task + number)
+                        raw.append(joined[at:to].tobytes())
                         number += 1
                     at = to
                 start += size
-                n.append(size)
-                roots.append(merkle([x["digest"] for x in recipe]))
-                recipes.append(recipe)
-                fresh.append(new)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(recipes, kind), pa.array(fresh, fresh_kind)], names=["doc_id", "n_tokens", "root", "chunks", "fresh"])
+                digests += own
+                roots.append(merkle(own))
+                count.append(len(digests))
+                fresh_count.append(len(fresh))
+            recipe = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(lengths, pa.int32())], names=["digest", "n"])
+            new = pa.StructArray.from_arrays([pa.array(fresh, pa.binary()), pa.array(places, pa.int64()), pa.array(raw, pa.binary())], names=["digest", "place", "ids"])
+            chunks = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), x) for at, x in ((count, recipe), (fresh_count, new))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(roots, pa.binary()), *chunks], names=["doc_id", "n_tokens", "root", "chunks", "fresh"])
 
     return run
 
@@ -139,9 +164,14 @@ def _leaf(dtype: str):
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Is each root that of its recipe? Chunks get the number of ids that follow them in their document."""
     for b in batches:
-        ok = [merkle([x["digest"] for x in r]) == root for r, root in zip(b.column("chunks").to_pylist(), b.column("root").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens", "chunks")), pa.array(ok)], names=["doc_id", "start", "n_tokens", "chunks", "sound"])
+        recipes = b.column("chunks").to_pylist()
+        ok = [merkle([x["digest"] for x in r]) == root for r, root in zip(recipes, b.column("root").to_pylist(), strict=True)]
+        after = [np.cumsum([0, *(x["n"] for x in r[:0:-1])])[::-1].tolist() if r else [] for r in recipes]
+        at = pa.array(np.cumsum([0, *map(len, recipes)]), pa.int32())
+        links = pa.StructArray.from_arrays([pa.array([x["digest"] for r in recipes for x in r], pa.binary()), pa.array([x for a in after for x in a], pa.int64())], names=["digest", "after"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens")), pa.ListArray.from_arrays(at, links), pa.array(ok)], names=["doc_id", "start", "n_tokens", "chunks", "sound"])
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +237,8 @@ def read_store(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """Each document from the files of a store: doc_id, start, n_tokens, ids_crc32, sound (all digests and roots are right)."""
     dtype = encoder(tokenizer).dtype.str
     chunks = spark.read.parquet(f"{path}/chunks").select("digest", "ids").mapInArrow(_leaf(dtype), "digest binary, crc long, len int")
-    recipes = spark.read.parquet(f"{path}/recipes").mapInArrow(_roots, f"doc_id long, start long, n_tokens long, chunks {RECIPE}, sound boolean")
-    links = recipes.select("start", "n_tokens", F.posexplode("chunks").alias("at", "c"), "chunks").select("start", F.col("c.digest").alias("digest"), F.expr("aggregate(slice(chunks, at + 2, size(chunks)), 0L, (s, x) -> s + x.n)").alias("after"))
+    recipes = spark.read.parquet(f"{path}/recipes").mapInArrow(_roots, "doc_id long, start long, n_tokens long, chunks array<struct<digest binary, after long>>, sound boolean")
+    links = recipes.select("start", F.explode("chunks").alias("c")).select("start", "c.digest", "c.after")
     each = links.join(chunks, "digest").mapInArrow(_placed, "start long, part long, len int")
     found = each.groupBy("start").agg(F.bit_xor("part").alias("ids_crc32"), F.sum("len").alias("got"))
     out = recipes.drop("chunks").join(found, "start", "left")
