@@ -75,23 +75,30 @@ def parts(line: str) -> tuple[str, list[str]]:
 
 
 class Memory(dict):
-    """What ``make`` gives for a short key, remembered. Emptied when full, so its memory is bounded; from then on a key is remembered from the
-    second time, as most different words of a large corpus occur once."""
+    """What ``make`` gives for a short key, remembered. When half of ``limit`` is reached, what is remembered becomes the older half, from which
+    keys that are asked for come back; so memory is bounded and common keys stay. From then on a key is remembered from the second time, as most
+    different words of a large corpus occur once."""
 
-    def __init__(self, make=None):
+    def __init__(self, make=None, limit: int | None = None):
         super().__init__()
         gc.set_threshold(500_000, 20, 20)  # what is remembered has no cycles; looking for some in it takes a tenth of the time
-        self.make, self.met = make, None
+        self.make, self.limit, self.met, self.old = make, limit, None, {}
 
     def __missing__(self, key: str):
-        return self.keep(key, self.make(key))
+        found = self.old.get(key)
+        if found is None:
+            return self.keep(key, self.make(key))
+        self[key] = found
+        return found
 
     def keep(self, key: str, found):
         if len(key) <= LONG:
-            if len(self) >= LIMIT:
+            limit = self.limit or LIMIT
+            if len(self) >= (limit // 2 if self.make else limit):
+                self.old = self.copy() if self.make else {}
                 self.clear()
-                self.met = bytearray(1 << 20)
-            if self.met is None or self.met[at := hash(key) & 0xFFFFF]:
+                self.met = bytearray(1 << 22 if self.make else 1 << 20)
+            if self.met is None or self.met[at := hash(key) & len(self.met) - 1]:
                 self[key] = found
             else:
                 self.met[at] = 1
@@ -109,8 +116,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.tokens = Memory(self.pretoken)
-        self.first, self.spaced = Memory(self.piece), Memory(self.word)
+        self.tokens, self.first, self.spaced = Memory(self.pretoken, LIMIT // 6), Memory(self.piece, LIMIT // 6), Memory(self.word)
         self.newline = self.pretoken("\n")
 
     def whole(self, text: str) -> bytes:
