@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,10 +49,14 @@ class PrefixCounts:
             self.joined[x << 32 | y] = self.order[a + b] = len(self.left)
             self.left.append(x)
             self.right.append(y)
-        self.longest = max(map(len, self.order))
-        self.proven: dict[bytes, int] = {}
+        # only tokens that their own bytes are encoded to can stand in an encoding
+        self.ending = ahocorasick.Automaton()
+        for t, o in self.order.items():
+            if self.merged(t) == [o]:
+                self.ending.add_word(t.decode("latin-1"), (len(t), o))
+        self.ending.make_automaton()
         self.stable: dict[int, bool] = {}
-        self.tokens, self.first, self.spaced = Memory(self.pretoken), Memory(self.total), Memory(lambda rest: self.total(" " + rest))
+        self.tokens, self.first, self.spaced = Memory(self.pretoken), Memory(self.total), Memory(self.after_space)
         self.tokenizer = Tokenizer.from_file(path)
 
     def merged(self, text: bytes) -> list[int]:
@@ -64,11 +69,6 @@ class PrefixCounts:
             parts[i : i + 2] = [made]
         return parts
 
-    def prove(self, t: bytes) -> int:
-        """A token's place in the order, -1 if its bytes are encoded to other tokens."""
-        found = self.proven[t] = self.order[t] if self.merged(t) == [self.order[t]] else -1
-        return found
-
     def is_stable(self, a: int, b: int) -> bool:
         """Do tokens a and b stay apart, as they are, when encoded together? Undoes the later of their merges, one after the other, and looks
         whether a merge over the border would have come before it."""
@@ -90,26 +90,23 @@ class PrefixCounts:
                         return True
 
     def run(self, text: bytes) -> list[int]:
-        """Counts after 1, 2, ... len(text) bytes of one pre-token."""
-        last, counts, order, proven, stable, longest = [0] * (len(text) + 1), [0] * (len(text) + 1), self.order, self.proven, self.stable, self.longest
-        for i in range(1, len(text) + 1):
-            for at in range(max(0, i - longest), i):
-                t = text[at:i]
-                if t in order:
-                    o = proven[t] if t in proven else self.prove(t)
-                    if o < 0:
-                        continue
-                    if at:
-                        pair = last[at] << 32 | o
-                        ok = stable.get(pair)
-                        if ok is None:
-                            if len(stable) >= LIMIT:
-                                stable.clear()
-                            ok = stable[pair] = self.is_stable(last[at], o)
-                        if not ok:
-                            continue
-                    last[i], counts[i] = o, counts[at] + 1
-                    break
+        """Counts after 1, 2, ... len(text) bytes of one pre-token. The automaton tells the tokens that end at each place, place by place."""
+        last, counts, stable = [0] * (len(text) + 1), [0] * (len(text) + 1), self.stable
+        for end, (size, o) in self.ending.iter(text.decode("latin-1")):
+            i = end + 1
+            if counts[i]:
+                continue
+            at = i - size
+            if at:
+                pair = last[at] << 32 | o
+                ok = stable.get(pair)
+                if ok is None:
+                    if len(stable) >= LIMIT:
+                        stable.clear()
+                    ok = stable[pair] = self.is_stable(last[at], o)
+                if not ok:
+                    continue
+            last[i], counts[i] = o, counts[at] + 1
         return counts[1:]
 
     def pretoken(self, t: str) -> tuple[int, ...]:
@@ -118,11 +115,12 @@ class PrefixCounts:
 
     def total(self, piece: str) -> int:
         """Tokens of a piece, without its prefixes'."""
-        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
-            return self.tokens[piece][-1]
         if odd(piece):
             return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        return sum([self.tokens[t][-1] for t in pretokens(piece)])
+        return sum([self.spaced[t[1:]] if t[0] == " " and t[1:].isalpha() else self.tokens[t][-1] for t in pretokens(piece)])
+
+    def after_space(self, rest: str) -> int:
+        return self.run(f" {rest}".encode())[-1] if rest.isalpha() else self.total(" " + rest)
 
     def prefixes(self, piece: str) -> list[int]:
         """Counts of all prefixes of a piece that begins a text or stands after a cut."""
