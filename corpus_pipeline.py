@@ -34,19 +34,34 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(written(found, "copies"), same, "left_anti")
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """The rows whose id isn't among ``ids`` (long _id)."""
-    return docs.join(written(ids.distinct(), name), F.col("doc_id") == F.col("_id"), "left_anti")
+def _same(ids: str, digests: str):
+    return F.col("doc_id").eqNullSafe(F.col(ids)) & (digest(text_of()) == F.col(digests))
+
+
+def _without(spark: SparkSession, docs: DataFrame, dropped, name: str) -> DataFrame:
+    """The rows that ``dropped`` (documents to the doc_id of those that go) doesn't name.
+
+    A doc_id is a row where none is null or has several texts. Elsewhere each pair of doc_id and text gets a number, by doc_id and nulls last,
+    that stands for its doc_id.
+    """
+    rows = docs.select("doc_id", digest(text_of()).alias("_digest")).distinct()
+    if rows.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        gone = written(dropped(docs).select(F.col("doc_id").alias("_id")).distinct(), name)
+        return docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    numbers = written(rows.select(F.col("doc_id").alias("_id"), "_digest").sort(F.col("_id").asc_nulls_last(), "_digest").withColumn("_row", F.monotonically_increasing_id()), "rows")
+    numbered = written(docs.join(numbers, _same("_id", "_digest")).select(F.col("_row").alias("doc_id"), "text"), "numbered")
+    gone = dropped(numbered).select(F.col("doc_id").alias("_row")).distinct()
+    return docs.join(written(numbers.join(gone, "_row").select("_id", "_digest"), name), _same("_id", "_digest"), "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document of the smallest id."""
-    return _without(docs, near_duplicates(docs, k=5, percent=80).where("not kept").select(F.col("doc_id").alias("_id")), "near")
+    return _without(spark, docs, lambda d: near_duplicates(d, k=5, percent=80).where("not kept"), "near")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
-    return _without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id")), "leaks")
+    return _without(spark, docs, lambda d: contamination(d, table(spark, sf_dir, "benchmark")).where("contaminated"), "leaks")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

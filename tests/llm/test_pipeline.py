@@ -91,3 +91,16 @@ def test_stages_keep_columns_and_stand_hard_rows(spark, frame, hard, prose, tmp_
     clean = cp.decontaminate(spark, docs, str(tmp_path)).where("doc_id >= 90").select("doc_id").distinct().collect()
     assert sorted(r[0] for r in clean) == [90, 91, 92]
     assert zlib.crc32(b"1")
+
+
+def test_each_row_of_an_id_has_its_own_decision(spark, frame, prose, tmp_path):
+    import corpus_pipeline as cp
+
+    spark.createDataFrame([("i", prose("b", 80))], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leak, near = prose("b", 80), prose("n", 90)
+    rows = [(None, leak), (None, prose("c", 50)), (1, leak), (1, prose("d", 50)), (2, near), (3, near + " more"), (3, prose("e", 50)), (None, "well " + near)]
+    docs = frame(rows).select("doc_id", "text", "lang", "source", "n_chars")
+    texts = lambda df: sorted((r["doc_id"] or 0, r["text"]) for r in df.collect())
+    assert texts(cp.decontaminate(spark, docs, str(tmp_path))) == sorted((i or 0, t) for i, t in rows if t != leak)
+    gone = [(None, leak), (3, near + " more"), (None, "well " + near)]
+    assert texts(cp.drop_near_copies(spark, docs, str(tmp_path))) == sorted((i or 0, t) for i, t in rows if (i, t) not in gone)
