@@ -149,23 +149,33 @@ class Segment:
             row, start = row[ok], start[ok]
         return alive[row], start
 
-    def near(self, phrase: np.ndarray, slop: int) -> list[tuple[int, int]]:
-        """(first, last) position of the places where all different terms of a phrase lie within len(phrase) + slop words, from each place of
-        the rarest; of a term's places the nearest counts."""
-        terms = np.unique(phrase)
-        if (self.count[terms] == 0).any():
+    def near(self, phrase: np.ndarray, slop: int, starts: np.ndarray) -> list[tuple[int, int]]:
+        """(first, last) position of every stretch of one document (``starts`` of them) that has all terms of a phrase, as often as the phrase
+        has them, within len(phrase) + slop words, and no shorter one in it."""
+        terms, times = np.unique(phrase, return_counts=True)
+        if (self.count[terms] < times).any():
             return []
-        terms = terms[np.argsort(self.count[terms], kind="stable")]
-        _, at = self.postings(terms[:1])
-        low, high = at.copy(), at.copy()
-        for t in terms[1:]:
-            _, p = self.postings(np.array([t]))
-            i = np.searchsorted(p, at)
-            left, right = p[np.maximum(i - 1, 0)], p[np.minimum(i, len(p) - 1)]
-            best = np.where(np.abs(right - at) < np.abs(left - at), right, left)
-            low, high = np.minimum(low, best), np.maximum(high, best)
-        ok = high - low < len(phrase) + slop
-        return list(zip(low[ok].tolist(), high[ok].tolist(), strict=True))
+        row, at = self.postings(terms)
+        order = np.argsort(at, kind="stable")
+        row, at = row[order].tolist(), at[order]
+        doc, at = (np.searchsorted(starts, at, "right") - 1).tolist(), at.tolist()
+        out: list[tuple[int, int]] = []
+        seen, lacking, low = [0] * len(terms), len(terms), 0
+        for k, t in enumerate(row):
+            while low < k and (doc[low] != doc[k] or at[k] - at[low] >= len(phrase) + slop):
+                lacking += seen[row[low]] == times[row[low]]
+                seen[row[low]] -= 1
+                low += 1
+            seen[t] += 1
+            lacking -= seen[t] == times[t]
+            if lacking == 0:
+                while seen[row[low]] > times[row[low]]:
+                    seen[row[low]] -= 1
+                    low += 1
+                if out and out[-1][0] == at[low]:
+                    continue
+                out.append((at[low], at[k]))
+        return out
 
 
 def _search(block: Block, slop: int | None):
@@ -185,7 +195,7 @@ def _search(block: Block, slop: int | None):
                         owners.append(p.items[which])
                     else:
                         for k, phrase in enumerate(p.terms):
-                            found = s.near(phrase, slop)
+                            found = s.near(phrase, slop, starts)
                             lows.append(np.array([x for x, _ in found], np.int64))
                             highs.append(np.array([y + 1 for _, y in found], np.int64))
                             owners.append(np.full(len(found), p.items[k]))
@@ -227,7 +237,8 @@ def blocks(items: DataFrame, words_at_once: int = BLOCK_WORDS) -> Iterator[list[
 def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None) -> DataFrame:
     """Documents with hits: segment, no (place in the segment), spans (words, end exclusive, apart), items (ids, each once, in order as strings).
 
-    Exact phrases, or with ``slop`` windows all of whose words stand within window + slop words in any order (proximity).
+    Exact phrases, or with ``slop`` windows all of whose words, a repeated one as often, stand within window + slop words of a document in any
+    order (proximity).
     """
     passes = []
     for block in blocks(items):

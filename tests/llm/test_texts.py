@@ -142,6 +142,21 @@ def test_proximity(spark, frame):
     assert [r["doc_id"] for r in found.join(docs, ["segment", "no"]).select("d.doc_id").collect()] == [1]
 
 
+def test_proximity_against_all_windows():
+    r = random.Random(8)
+    for _ in range(400):
+        docs = [[r.choice("abcd") for _ in range(r.randrange(1, 12))] for _ in range(3)]
+        phrase, slop = [r.choice("abc") for _ in range(r.randrange(1, 5))], r.choice([0, 1, 2, 70])
+        vocabulary = np.unique(dc.WORDS.of([w.encode() for w in phrase]))
+        b = dc._segment(0, [1, 2, 3], [dc.WORDS.of([w.encode() for w in d]) for d in docs])
+        starts = np.array(b.column("docs")[0].values.field("start"), dtype=np.int64)
+        s = dc.Segment(b.column("terms")[0].as_py(), b.column("offsets")[0].as_py(), b.column("positions")[0].as_py(), vocabulary)
+        found = s.near(np.searchsorted(vocabulary, dc.WORDS.of([w.encode() for w in phrase])), slop, starts)
+        fits = lambda w: all(w.count(x) >= phrase.count(x) for x in phrase)
+        want = [(o + i, o + j) for o, d in zip(starts.tolist(), docs) for i in range(len(d)) for j in range(i, min(len(d), i + len(phrase) + slop)) if fits(d[i : j + 1]) and not fits(d[i + 1 : j + 1]) and not fits(d[i:j])]
+        assert found == want
+
+
 def test_contamination_query(spark):
     from siftline.llm.queries import op5_decontamination
 
