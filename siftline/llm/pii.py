@@ -49,9 +49,14 @@ _DOT = r"(?:\x20?[\[({<]\x20?(?:dot|\.|punto|punkt|point)\x20?[\])}>]\x20?|\x20(
 _DISGUISED = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_DOT}[A-Za-z0-9._%+-]+)*(?:{_AT}|@)[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)+", re.IGNORECASE)
 _AT_ONE, _DOT_ONE = re.compile(_AT, re.IGNORECASE), re.compile(_DOT, re.IGNORECASE)
 _BRACKET_AT = re.compile(r"[\[({<]\x20?(?:at|@|arroba|arobase|chez)\x20?[\])}>]", re.IGNORECASE)
-_HINTS = ("@", "[at", "(at", "{at", "<at", "[ at", "( at", "{ at", "< at", "arroba", "arobase", "chez", " dot ", "dot]", "dot)", "dot}", "dot>", "dot ]", "dot )", "punto", "punkt", "point", " . ", "[.", "(.", "{.", "<.", "[ .", "( .", "{ .", "< .")
-#: Ends of host names without which "at" and "dot" between spaces are taken for prose.
+_HINTS = ("@", " at ", "[at", "(at", "{at", "<at", "[ at", "( at", "{ at", "< at", "arroba", "arobase", "chez", " dot ", "dot]", "dot)", "dot}", "dot>", "dot ]", "dot )", "punto", "punkt", "point", " . ", "[.", "(.", "{.", "<.", "[ .", "( .", "{ .", "< .")
+#: Ends of host names that go on after a full stop between spaces.
 _ENDINGS = frozenset("com org net edu gov mil int info biz name io dev app ai co me tv example test local invalid de fr es it nl be at ch uk us eu ca au nz in jp cn kr br mx ar cl pe ec pt pl se no dk fi ie ru cz gr tr za".split())
+#: Words that aren't names: neither a person's, a host's nor (unless listed above) the end of a host's.
+_FUNCTION = frozenset("the a an this that these those each every some any all one my your his her its our their i you he she it we they me him us them who which what and or but if so as of on in to for from by with at is are was were be been do did then there here not no up down out over home least last first once noon night".split())
+#: A word after which a name is an address.
+_CONTACT = re.compile(r"(?:e-?mail|mailto|mail|contact|write|reach|address|correo|courriel|kontakt)(?:\x20(?:to|me|us|is))?[\x20:,=(]{1,3}$", re.IGNORECASE)
+_FULL_STOP = "\x20.\x20"
 _DOT_IP = re.compile(rf"[0-9]+(?:(?:{_DOT}|\.)[0-9]+){{3}}", re.IGNORECASE)
 
 Span = tuple[int, int, str]
@@ -140,6 +145,37 @@ def _spelled(lower: str) -> bool:
     return any(map(bool.__and__, is_digit, is_digit[1:]))
 
 
+def _address(text: str, m: re.Match) -> tuple[int, list[tuple[int, int, str]]]:
+    """Where a disguised address ends, and its edits; none if it is ordinary prose.
+
+    "at" between spaces needs a local part with a dot or digit, a contact word before it, or a disguised dot; a host of a name, not of a word like
+    "the"; and two letters at least after the last dot. A full stop between spaces ends a host that is whole, unless a known ending follows.
+    """
+    whole = m[0]
+    signs = list(_AT_ONE.finditer(whole))
+    at, to = (signs[-1].start(), signs[-1].end()) if signs else (whole.rindex("@"), whole.rindex("@") + 1)
+    labels, ends = [], []  # of the host: labels, the separator before each, their ends
+    for x in re.finditer(rf"({_DOT}|\.)?([A-Za-z0-9-]+?)(?={_DOT}|\.|$)", whole[to:], re.IGNORECASE):
+        if x[1] == _FULL_STOP and len(labels) > 1 and x[2].lower() not in _ENDINGS:
+            break
+        labels.append(x[2].lower())
+        ends.append(to + x.end())
+    worded = any("@" not in x[0] for x in signs)
+    if worded and not _BRACKET_AT.search(whole):
+        while len(labels) > 1 and not (re.fullmatch("[a-z]{2,}", labels[-1]) and (labels[-1] in _ENDINGS or labels[-1] not in _FUNCTION)):
+            labels.pop()
+            ends.pop()
+        local = whole[:at].rpartition(_FULL_STOP)[2]
+        shaped = re.search("[A-Za-z]", local) and not local.endswith(".") and (re.search("[.0-9]", local) or _DOT_ONE.search(local) or _CONTACT.search(text[max(m.start() - 20, 0) : m.start()]))
+        dotted = bool(_DOT_ONE.search(whole, to, ends[-1])) if ends else False
+        if len(labels) < 2 or labels[0] in _FUNCTION or local.lower() in _FUNCTION or not (shaped or dotted):
+            return m.end(), []
+    end = ends[-1] if len(labels) > 1 else len(whole)
+    edits = [(x.start(), x.end(), "@") for x in signs]
+    edits += [(*x.span(), ".") for x in _DOT_ONE.finditer(whole, 0, end) if not any(x.start() < y.end() and y.start() < x.end() for y in signs)]
+    return m.start() + end, sorted((m.start() + x, m.start() + y, new) for x, y, new in edits)
+
+
 def deobfuscated(text: str) -> Rewritten | None:
     """The text without disguises, or None if it has none."""
     r = Rewritten(text)
@@ -156,14 +192,11 @@ def deobfuscated(text: str) -> Rewritten | None:
         r.edit([(m.start(), m.end(), "") for m in re.finditer(r"(?<=[0-9]),\x20?(?=[0-9])", r.text)])
     if any(x in lower for x in _HINTS):
         edits = []
-        for m in _DISGUISED.finditer(r.text):
-            whole = m[0]
-            signs = [x for x in _AT_ONE.finditer(whole)]
-            dots = [x for x in _DOT_ONE.finditer(whole) if not any(x.start() < y.end() and y.start() < x.end() for y in signs)]
-            worded = [x for x in signs if "@" not in x[0]]
-            if worded and not _BRACKET_AT.search(whole) and (not dots or not _ENDINGS.intersection([re.split(r"[^a-z0-9]+", whole.lower())[-1]])):
-                continue  # "met at example.com" and "look at the dot on it" are ordinary prose
-            edits += [(m.start() + x.start(), m.start() + x.end(), "@") for x in signs] + [(m.start() + x.start(), m.start() + x.end(), ".") for x in dots]
+        m = _DISGUISED.search(r.text)
+        while m:
+            end, found = _address(r.text, m)
+            edits += found
+            m = _DISGUISED.search(r.text, end)
         r.edit(sorted(edits))
         edits = []
         for m in _DOT_IP.finditer(r.text):

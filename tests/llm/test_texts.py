@@ -66,6 +66,26 @@ def test_disguises(text, want):
     assert [text[a:b] for a, b, _ in pii.find(text)[1]] == want
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("ask jane.doe at gmail.com today", ["jane.doe at gmail.com"]),
+        ("email jane at gmail.com today", ["jane at gmail.com"]),
+        ("jane at mail dot hu", ["jane at mail dot hu"]),
+        ("jane at mail dot ro, or jane at mail dot xyz", ["jane at mail dot ro", "jane at mail dot xyz"]),
+        ("jane at mail dot com . Thanks for all", ["jane at mail dot com"]),
+        ("jane at mail dot co dot hu", ["jane at mail dot co dot hu"]),
+        ("jo [at] mail [dot] com . Thanks", ["jo [at] mail [dot] com"]),
+        ("we met at example.com on Monday", []),
+        ("look at the dot on it", []),
+        ("in 2020 at example.com and, e.g. at example.com", []),
+        ("contact us at example.com", []),
+    ],
+)
+def test_disguises_by_shape(text, want):
+    assert [text[a:b] for a, b, _ in pii.find(text)[1]] == want
+
+
 def test_pii_rows(frame, hard):
     rows = [*hard, (50, "a@b.c"), (50, "a@b.c"), (None, "x at example dot com")]
     found = {(r["doc_id"], r["spans"]) for r in pii.personal_data(frame(rows)).collect()}
