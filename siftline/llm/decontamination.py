@@ -17,24 +17,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm.common import WordHashes, arrow_rows, spread, text_of, written
+from siftline.llm.common import SIGNS, WordHashes, arrow_rows, spread, text_of, written
 
 WINDOW = 10
 #: Tokens after which a segment is closed (a longer document is a segment of its own), and the positions left free between documents.
 SEGMENT, GAP = 100_000, 64
+#: Segments in an Arrow batch.
+SEGMENTS = 4
 #: Words of test items that are searched in one pass; more are searched in further passes.
 BLOCK_WORDS = 500_000
-_WORD = bytes(i + 32 if 65 <= i <= 90 else i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
-WORDS = WordHashes()
+#: ASCII letters in lower case, digits and everything outside ASCII make words.
+WORDS = WordHashes(SIGNS)
 INDEX = "segment long, docs array<struct<doc_id: long, start: int, n: int>>, terms binary, offsets binary, positions binary"
 HITS = "segment long, no int, spans array<struct<start: int, end: int>>, items array<string>"
 
 
-def words(text: str) -> list[bytes]:
-    """ASCII letters in lower case, digits and everything outside ASCII make words."""
-    return text.encode("utf-8", "surrogatepass").translate(_WORD).split()
-
-
 def _segment(number: int, ids: list, hashes: list[np.ndarray]) -> pa.RecordBatch:
     starts, at = [], 0
     for h in hashes:
@@ -54,9 +51,8 @@ def _segment(number: int, ids: list, hashes: list[np.ndarray]) -> pa.RecordBatch
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number, ids, hashes, size = TaskContext.get().partitionId() << 32, [], [], 0
-    for b in arrow_rows(batches, 1000):
-        for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            h = WORDS.of(words(text))
+    for b in arrow_rows(batches, 500):
+        for i, h in zip(b.column(0).to_pylist(), WORDS.each(b.column(1).to_pylist()), strict=True):
             if ids and size + len(h) > SEGMENT:
                 yield _segment(number, ids, hashes)
                 number, ids, hashes, size = number + 1, [], [], 0
@@ -91,8 +87,7 @@ class Block:
 def block_of(items: list[tuple[str | None, str]], window: int = WINDOW) -> Block:
     """All windows of the items; an item of fewer words, but not none, is one window."""
     by_length: dict[int, list[tuple[np.ndarray, int]]] = {}
-    for k, (_, text) in enumerate(items):
-        h = WORDS.of(words(text))
+    for k, h in enumerate(WORDS.each([text for _, text in items])):
         if len(h) >= window:
             by_length.setdefault(window, []).extend((w, k) for w in np.lib.stride_tricks.sliding_window_view(h, window))
         elif len(h):
@@ -243,7 +238,7 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int |
     passes = []
     for block in blocks(items):
         found = index.mapInArrow(_search(block_of(block, window), slop), HITS)
-        passes.append(written(found, "hits"))
+        passes.append(written(found, "hits", SEGMENTS))
     spark = index.sparkSession
     if not passes:
         return spark.createDataFrame([], HITS)
@@ -261,7 +256,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     """(doc_id, text, ...) and (item_id, text, ...) to one row for each row of ``docs``: doc_id, n_words, n_hit, spans, items, contaminated.
 
     Null and wordless texts are neither hit nor hit others. Items with a null id hit words but aren't listed; items of the same id are one.
-    Without items nothing is hit. Other columns of either table aren't read.
+    Without items nothing is hit. Texts of any length are taken whole, a long one as a segment of its own. Words are compared by 64-bit hashes.
+    Other columns of either table aren't read.
     """
     index = build_index(docs)
     hits = search(index, items, window)

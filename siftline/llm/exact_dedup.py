@@ -12,7 +12,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,20 +95,21 @@ class Snapshot:
     buckets: int
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(x[:8] for x in digests), np.uint64)
+def _keys(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(x[:8] for x in rows.column("digest").to_pylist()), np.uint64)
 
 
-def _filter(pdf: pd.DataFrame) -> pd.DataFrame:
-    f = BinaryFuse8.build(_keys(pdf["digest"]))
-    return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "seed": [np.uint64(f.seed).astype(np.int64)], "segment": [f.segment], "segments": [f.segments], "cells": [f.cells.tobytes()]})
+def _filter(rows: pa.Table) -> pa.Table:
+    f = BinaryFuse8.build(_keys(rows))
+    return pa.table({"bucket": rows.column("bucket")[:1], "seed": pa.array([np.uint64(f.seed).astype(np.int64)]), "segment": pa.array([f.segment], pa.int32()), "segments": pa.array([f.segments], pa.int32()), "cells": pa.array([f.cells.tobytes()], pa.binary())})
 
 
-def _screen(batch: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
+def _screen(batch: pa.Table, filters: pa.Table) -> pa.Table:
     if not len(batch) or not len(filters):
         return batch[:0]
-    f = filters.iloc[0]
-    return batch[BinaryFuse8(int(np.int64(f["seed"]).astype(np.uint64)), int(f["segment"]), int(f["segments"]), np.frombuffer(f["cells"], np.uint8)).may_have(_keys(batch["digest"]))]
+    f = filters.to_pylist()[0]
+    found = BinaryFuse8(int(np.int64(f["seed"]).astype(np.uint64)), f["segment"], f["segments"], np.frombuffer(f["cells"], np.uint8)).may_have(_keys(batch))
+    return batch.filter(pa.array(found))
 
 
 def digest(text: Column) -> Column:
@@ -125,14 +126,14 @@ def snapshot(groups: DataFrame) -> Snapshot:
     groups = written(groups, "digests")
     n = max(1, math.ceil(groups.count() / BUCKET))
     groups = written(groups.select(F.expr(f"cast(pmod(xxhash64(digest), {n}) as int)").alias("bucket"), "digest", "keep_id", "size").repartition("bucket"), "snapshot")
-    filters = written(groups.select("bucket", "digest").groupBy("bucket").applyInPandas(_filter, "bucket int, seed long, segment int, segments int, cells binary"), "filters")
+    filters = written(groups.select("bucket", "digest").groupBy("bucket").applyInArrow(_filter, "bucket int, seed long, segment int, segments int, cells binary"), "filters")
     return Snapshot(groups, filters, n)
 
 
 def known(batch: DataFrame, old: Snapshot) -> DataFrame:
     """The digest groups of a batch that the snapshot has too: digest, keep_id, size over both."""
     rows = batch.select(F.expr(f"cast(pmod(xxhash64(digest), {old.buckets}) as int)").alias("bucket"), "digest", "keep_id", "size")
-    passed = rows.groupBy("bucket").cogroup(old.filters.groupBy("bucket")).applyInPandas(_screen, "bucket int, digest binary, keep_id long, size long")
+    passed = rows.groupBy("bucket").cogroup(old.filters.groupBy("bucket")).applyInArrow(_screen, "bucket int, digest binary, keep_id long, size long")
     theirs = old.groups.select("digest", F.col("keep_id").alias("old_id"), F.col("size").alias("old_size"))
     return passed.join(theirs, "digest").select("digest", F.greatest("keep_id", "old_id").alias("keep_id"), (F.col("size") + F.col("old_size")).alias("size"))
 
@@ -156,6 +157,7 @@ def exact_duplicates(docs: DataFrame, earlier: Column | None = None) -> DataFram
     same = texts.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("size")).drop("text")
     groups = same.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.max("size").alias("size"), F.count("*").alias("texts"))
     groups = groups.select("digest", "keep_id", F.when(F.col("texts") == 1, F.col("size")).otherwise(F.raise_error(F.lit("two texts have one SHA-256"))).alias("size"), F.lit(True).alias("met"))
-    out = prints.join(groups, "digest", "left")
+    # a table of its own: the rows of a hot digest can only be split among tasks where both sides of the join are read from a shuffle
+    out = prints.join(written(groups, "groups"), "digest", "left")
     keep = F.when(F.col("met"), F.col("keep_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(keep).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))

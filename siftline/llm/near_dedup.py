@@ -5,28 +5,35 @@ the second, shifted by k places, gives coordinate k. Coordinates are banded, can
 
 What makes the links whole and the work bounded:
 
-* equal sets are one class before any banding, so exact copies cost one small row each;
+* equal sets (by 128 bits of hashes, and size) are one class before any banding, so exact copies cost one small row each;
 * bands of 4 of 128 coordinates: a pair at similarity 0.8 shares none of 32 bands with probability (1 - 0.8**4)**32 < 5e-8;
 * within a bucket, members are first compared with the bucket's smallest document (a star, linear in the bucket). Only members that
-  are still in another component than most of the bucket are then compared with all its members, in tiles of bounded size.
+  are still in another component than most of the bucket are then compared with all its members of like size, in tiles of bounded size:
+  first by signatures (a linked pair agrees in fewer coordinates than ``least_alike`` tells with a probability under 1e-7), then the few
+  members that are alike to any by their full sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.common import LOWER, WordHashes, arrow_rows, grams, mix, short_gram, spread, text_of, written
+from siftline.llm.common import WHITE, WordHashes, arrow_rows, drop_written, grams, mix, short_gram, spread, text_of, written
 from siftline.llm.components import components
 
 CIRCLE_BITS = 20
 BANDS, ROWS = 32, 4
-WORDS = WordHashes()
+#: Documents that share a bucket, up to which their ids are broadcast to the scan (8 bytes each); beyond it, texts are shuffled to them.
+BROADCAST_IDS = 1_000_000
+#: Members in a block of a tile that compares signatures; shingles in one that compares full sets.
+BLOCK, BLOCK_SHINGLES = 512, 100_000
+#: Tiles, and pairs of full sets, in an Arrow batch.
+TILES, PAIRS = 16, 200
+WORDS = WordHashes(WHITE)
 _SHIFTED: dict[int, np.ndarray] = {}
 
 
@@ -38,11 +45,9 @@ def shifted(n: int) -> np.ndarray:
     return _SHIFTED[n]
 
 
-def shingle_set(text: str, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles; fewer words than k are one shingle, no words none."""
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    h = WORDS.of(words)
-    return np.unique(grams(h, k) if len(h) >= k else short_gram(h))
+def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its k-word shingles; fewer words than k are one shingle, no words none."""
+    return [np.unique(grams(h, k) if len(h) >= k else short_gram(h)) for h in WORDS.each(texts)]
 
 
 def signature(shingles: np.ndarray, n: int) -> np.ndarray:
@@ -52,34 +57,33 @@ def signature(shingles: np.ndarray, n: int) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.min(parts, axis=0)
 
 
-def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    b = sig.reshape(bands, rows).astype(np.uint64)
-    h = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A row of keys for each row of coordinates."""
+    b = signatures.reshape(-1, bands, rows).astype(np.uint64)
+    h = np.tile(np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), (len(b), 1))
     for i in range(rows):
-        h = mix(h ^ b[:, i]) + np.uint64(i)
+        h = mix(h ^ b[:, :, i]) + np.uint64(i)
     return h.view(np.int64)
 
 
 def _sketch(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 2000):
-            n, h1, h2, keys = [], [], [], []
-            for text in b.column(1).to_pylist():
-                s = shingle_set(text, k)
-                n.append(len(s))
-                if len(s):
-                    h1.append(np.bitwise_xor.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))))
-                    h2.append(np.add.reduce(mix(s + np.uint64(0x14057B7EF767814F))))
-                    keys.append(band_keys(signature(s, bands * rows), bands, rows))
-                else:
-                    h1.append(np.uint64(0))
-                    h2.append(np.uint64(0))
-                    keys.append(np.empty(0, np.int64))
-            at = np.cumsum([0, *map(len, keys)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)), pa.array(np.array(h2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))],
-                names=["id", "n", "h1", "h2", "bands"],
-            )
+        for b in arrow_rows(batches, 500):
+            sets = shingle_sets(b.column(1).to_pylist(), k)
+            n = np.array([len(s) for s in sets], np.int64)
+            full, every = np.flatnonzero(n), np.concatenate([*sets, np.empty(0, np.uint64)])
+            at = np.cumsum(n[full]) - n[full]
+            h = np.zeros((2, len(n)), np.uint64)
+            found = np.empty((len(full), bands * rows), np.uint32)
+            if len(full):
+                h[0, full] = np.bitwise_xor.reduceat(mix(every ^ np.uint64(0x5851F42D4C957F2D)), at)
+                h[1, full] = np.add.reduceat(mix(every + np.uint64(0x14057B7EF767814F)), at)
+                for i, j in enumerate(full.tolist()):
+                    found[i] = signature(sets[j], bands * rows)
+            keys = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum((n > 0) * bands)), pa.int32()), pa.array(band_keys(found, bands, rows).ravel()))
+            own = iter(found.astype(np.uint8))
+            signs = pa.array([next(own).tobytes() if x else b"" for x in n.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(h[0].view(np.int64)), pa.array(h[1].view(np.int64)), signs, keys], names=["id", "n", "h1", "h2", "signature", "bands"])
 
     return run
 
@@ -87,7 +91,7 @@ def _sketch(k: int, bands: int, rows: int):
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in arrow_rows(batches, 500):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, k).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), k)], pa.binary())], names=["id", "shingles"])
 
     return run
 
@@ -102,9 +106,9 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrow_rows(batches, 500):
-            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], names=["a", "b"])
+        for b in arrow_rows(batches, 200):
+            ok = pa.array([linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(b.column(2), b.column(3), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
 
     return run
 
@@ -115,46 +119,84 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")
 
 
-def _tile(percent: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        odd, all_ = pdf[pdf["odd"]], pdf[~pdf["odd"]]
-        out: list[tuple[int, int]] = []
-        if len(odd) and len(all_):
-            sets = [np.frombuffer(x, np.uint64) for x in all_["shingles"]]
-            sizes, ids, comps = np.array([len(x) for x in sets]), all_["id"].to_numpy(), all_["component"].to_numpy()
-            values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(values, kind="stable")
-            values, owner = values[order], owner[order]
-            for i, c, raw in zip(odd["id"], odd["component"], odd["shingles"], strict=True):
-                s = np.frombuffer(raw, np.uint64)
-                lo, hi = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
-                n = hi - lo
-                at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                both = np.bincount(owner[at], minlength=len(sets))
-                ok = (comps != c) & (both > 0) & (100 * both >= percent * (sizes + len(s) - both))
-                met: set[int] = set()
-                for j in np.flatnonzero(ok):  # one link to each other component joins as much as all of them
-                    if comps[j] not in met:
-                        met.add(comps[j])
-                        out.append((i, ids[j]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def least_alike(coordinates: int, percent: int) -> int:
+    """In how many coordinates the signatures of linked sets agree at least: 5.4 standard deviations below the mean at the limit."""
+    p = percent / 100
+    return max(1, int(coordinates * p - 5.4 * (coordinates * p * (1 - p)) ** 0.5))
+
+
+def alike(need: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Which of the other members' signatures agree with one in ``need`` coordinates."""
+
+    def run(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        return (np.stack(others) == own).sum(axis=1) >= need
 
     return run
 
 
-def tiled(members: DataFrame, sets: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Links between components that meet in a bucket. members: key, id, component.
+def similar(percent: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Which of the other members' full sets are linked with one."""
+
+    def run(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        own = own.view(np.uint64)
+        return np.array([linked(own, x.view(np.uint64), percent) for x in others])
+
+    return run
+
 
-    In each bucket all members that aren't in its commonest component are compared with every member. Both sides are dealt to blocks of
-    about ``block`` rows, and each pair of blocks is a tile of its own, so no task gets a whole bucket and only links come out.
+def _tile(compare, whole: bool):
+    """Compares the odd members of each tile with its other members of another component. Gives the ids of all that are linked with any, with
+    ``whole``, the links; one link to each other component joins as much as all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in arrow_rows(batches, 64):
+            found: set[tuple[int, int, int]] = set()
+            for key, members in zip(b.column("key").to_pylist(), b.column("members"), strict=True):
+                m = members.values
+                odd, ids, comps = m.field("odd").to_numpy(zero_copy_only=False), m.field("id").to_numpy(), m.field("component").to_numpy()
+                left, right = np.flatnonzero(odd), np.flatnonzero(~odd)
+                if not len(left) or not len(right):
+                    continue
+                bodies = [np.frombuffer(x.as_buffer(), np.uint8) for x in m.field("body")]
+                others, other_ids, other_comps = [bodies[j] for j in right], ids[right], comps[right]
+                for i in left.tolist():
+                    far = np.flatnonzero(other_comps != comps[i])
+                    if not len(far):
+                        continue
+                    ok = far[compare(bodies[i], others if len(far) == len(others) else [others[j] for j in far])]
+                    if whole:
+                        ok = ok[np.unique(other_comps[ok], return_index=True)[1]]
+                    found.update((key, int(ids[i]), int(other_ids[j])) for j in ok)
+            if whole:
+                rows = sorted({(a, c) for _, a, c in found})
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            else:
+                rows = sorted({(k, x) for k, a, c in found for x in (a, c)})
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["key", "id"])
+
+    return run
+
+
+def tiled(members: DataFrame, bodies: DataFrame, percent: int, weight: str, compare, whole: bool) -> DataFrame:
+    """Compares members of different components that meet in a bucket. members: key, id, component, n. bodies: id, body.
+
+    In each bucket all members that aren't in its commonest component are compared with every member of like size: sizes are in classes of
+    which only neighbours can be linked. Both sides of a class are dealt to blocks of a ``weight`` of about 1, and each pair of blocks is a tile
+    of its own, so no task gets a whole bucket and only what is linked comes out.
     """
+    base = 100 / percent + 0.01
     counts = members.groupBy("key", "component").agg(F.count("*").alias("c"))
-    top = counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("total")).select("key", F.col("top.component").alias("main"), F.ceil(F.col("total") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("top.c")) / block).cast("int").alias("ob")).where("ob > 0")
-    m = members.join(written(top, "top"), "key").withColumn("at", F.xxhash64("id"))
-    odd = m.where("component <> main").select("key", "id", "component", F.expr("cast(pmod(at, ob) as int)").alias("o"), F.explode(F.expr("sequence(0, nb - 1)")).alias("b"), F.lit(True).alias("odd"))
-    every = m.select("key", "id", "component", F.explode(F.expr("sequence(0, ob - 1)")).alias("o"), F.expr("cast(pmod(at, nb) as int)").alias("b"), F.lit(False).alias("odd"))
-    rows = odd.unionByName(every).join(sets, "id")
-    return rows.groupBy("key", "o", "b").applyInPandas(_tile(percent), "a long, b long")
+    top = written(counts.groupBy("key").agg(F.max(F.struct("c", "component")).alias("top")).select("key", F.col("top.component").alias("main")), "top")
+    m = written(members.join(top, "key").select("key", "id", "component", (F.col("component") != F.col("main")).alias("odd"), F.expr(f"cast(floor(ln(n) / ln({base})) as int)").alias("size"), F.expr(weight).alias("w")), "sized")
+    odd = m.where("odd").withColumn("size", F.explode(F.expr("array(size - 1, size, size + 1)")))
+    blocks = m.groupBy("key", "size").agg(F.ceil(F.sum("w")).cast("int").alias("nb")).join(odd.groupBy("key", "size").agg(F.ceil(F.sum("w")).cast("int").alias("ob")), ["key", "size"])
+    blocks = written(blocks, "blocks")
+    at = F.xxhash64("id")
+    left = odd.join(blocks, ["key", "size"]).withColumn("at", at).select("key", "size", "id", "component", F.expr("cast(pmod(at, ob) as int)").alias("o"), F.explode(F.expr("sequence(0, nb - 1)")).alias("b"), F.lit(True).alias("odd"))
+    right = m.join(blocks, ["key", "size"]).withColumn("at", at).select("key", "size", "id", "component", F.explode(F.expr("sequence(0, ob - 1)")).alias("o"), F.expr("cast(pmod(at, nb) as int)").alias("b"), F.lit(False).alias("odd"))
+    rows = left.unionByName(right).join(bodies, "id")
+    tiles = rows.groupBy("key", "size", "o", "b").agg(F.collect_list(F.struct("id", "component", "odd", "body")).alias("members"))
+    return tiles.select("key", "members").mapInArrow(_tile(compare, whole), "a long, b long" if whole else "key long, id long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -163,27 +205,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     Words are ASCII-lower-cased runs between ASCII white space; a set is the distinct k-word shingles, or the whole sequence if it is shorter.
     Documents are linked at 100 * intersection >= percent * union; component_id is the smallest doc_id reachable, class_id the smallest with
     the same set. Null or wordless texts have no shingles and no links. Rows with the same doc_id are one document with as many rows, which
-    have all links of each of their texts. A null doc_id is never linked: its component_id and class_id are null and it is kept.
-    Only doc_id and text are read, so other columns may have any name. An empty table gives no rows.
+    have all links of each of their texts. A null doc_id is never linked: its component_id and class_id are null and it is kept. Texts of any
+    length are taken whole; a task needs about thirty bytes for each byte of its longest text. Only doc_id and text are read, so other columns
+    may have any name. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     base = spread(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")))
-    sketch = written(base.mapInArrow(_sketch(k, bands, rows), "id long, n long, h1 long, h2 long, bands array<long>"), "sketch")
+    sketch = written(base.mapInArrow(_sketch(k, bands, rows), "id long, n long, h1 long, h2 long, signature binary, bands array<long>"), "sketch")
     whole = sketch.where("n > 0 and id is not null")
-    classes = whole.groupBy("h1", "h2", "n").agg(F.min("id").alias("class"))
-    firsts = whole.join(classes.select(F.col("class").alias("id"), "h1", "h2", "n"), ["id", "h1", "h2", "n"]).select("id", F.explode("bands").alias("key"))
-    shared = firsts.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     # a table of its own, here and below: a hot key's rows can only be split among tasks where both sides of the join are read from a shuffle
-    members = written(firsts.join(written(shared, "shared"), "key").select("key", "id", "first"), "members")
-    ids = members.select("id").distinct()
+    classes = written(whole.groupBy("h1", "h2", "n").agg(F.min("id").alias("class")), "classes")
+    firsts = whole.join(classes.select(F.col("class").alias("id"), "h1", "h2", "n"), ["id", "h1", "h2", "n"]).select("id", "n", F.explode("bands").alias("key"))
+    shared = written(firsts.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first"), "shared")
+    members = written(firsts.join(shared, "key").select("key", "id", "n", "first"), "members")
     placed = whole.join(classes, ["h1", "h2", "n"]).select("id", "class")
     several = placed.groupBy("id").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
-    same = placed.join(several, "id").select(F.col("class").alias("a"), F.col("x").alias("b"))  # of a doc_id with several texts
-    sets = written(base.join(ids, "id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary").distinct(), "sets")
+    same = written(placed.join(several, "id").select(F.col("class").alias("a"), F.col("x").alias("b")).distinct(), "same")  # of a doc_id with several texts
+    ids = written(members.select("id").distinct(), "ids")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = written(base.join(few, "id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary").distinct(), "sets")
+    signatures = whole.join(few, "id", "left_semi").select("id", F.col("signature").alias("body"))
     pairs = members.groupBy("id").agg(F.min("first").alias("b")).where("id <> b").select(F.col("id").alias("a"), "b")
-    links = written(confirmed(pairs, sets, percent), "links")
+    links = written(confirmed(pairs, sets, percent), "links", PAIRS)
     reach = components(links)
     for step in ("stars", "tiles"):
-        placed = members.join(reach, "id", "left").select("key", "id", "first", F.coalesce("component", "id").alias("component"))
+        placed = members.join(reach, "id", "left").select("key", "id", "n", "first", F.coalesce("component", "id").alias("component"))
         mixed = written(placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key"), "mixed")
         if mixed.isEmpty():
             break
@@ -191,15 +237,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         if step == "stars":
             heads = placed.where("id = first").select(F.col("id").alias("b"), F.col("component").alias("other")).distinct()
             more = placed.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"), "component").distinct().join(heads, "b").where("component <> other").select("a", "b")
-            more = written(confirmed(more, sets, percent), "links")
+            more = written(confirmed(more, sets, percent), "links", PAIRS)
         else:
-            more = written(tiled(placed, sets, percent), "links")
+            near = written(tiled(placed.select("key", "id", "component", "n"), signatures, percent, f"1 / {BLOCK}D", alike(least_alike(bands * rows, percent)), False), "near", TILES)
+            left = placed.join(near, ["key", "id"]).select("key", "id", "component", "n")
+            more = written(tiled(left, sets.withColumnRenamed("shingles", "body"), percent, f"n / {BLOCK_SHINGLES}D", similar(percent), True), "links", TILES)
         if not more.isEmpty():
             links = links.union(more)
             reach = components(links)
     if not same.isEmpty():
         reach = components(links.union(same))
-    out = sketch.join(classes, ["h1", "h2", "n"], "left").join(reach.select(F.col("id").alias("class"), "component"), "class", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class", "id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("id").isNotNull(), F.coalesce("class", "id")).alias("class_id"), (component.isNull() | (F.col("id") == component)).alias("kept"))
-
+    drop_written(spark, sets, members)
+    ends = classes.join(reach.select(F.col("id").alias("class"), "component"), "class", "left").select("h1", "h2", "n", "class", F.coalesce("component", "class").alias("component"))
+    ends = written(ends, "ends")
+    found = whole.select("id", "n", "h1", "h2").join(ends, ["h1", "h2", "n"], "left").select("id", "n", "class", "component")
+    alone = sketch.where("n = 0 or id is null").select("id", "n", F.col("id").alias("class"), F.col("id").alias("component"))
+    return found.union(alone).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("class").alias("class_id"), (F.col("component").isNull() | (F.col("id") == F.col("component"))).alias("kept"))

@@ -86,12 +86,46 @@ def test_near_hard_rows(frame, hard, prose):
 
 def test_tiles_join_what_stars_leave(spark, frame, prose):
     docs = {i: prose(i // 5, 40) for i in range(40)}
-    sets = spark.createDataFrame([(i, bytearray(nd.shingle_set(t, 5).tobytes())) for i, t in docs.items()], "id long, shingles binary")
-    members = spark.createDataFrame([(7, i, i) for i in docs], "key long, id long, component long")
-    links = nd.tiled(members, sets, 80, block=8).collect()
+    found = {i: nd.shingle_sets([t], 5)[0] for i, t in docs.items()}
+    sets = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in found.items()], "id long, body binary")
+    signatures = spark.createDataFrame([(i, bytearray(nd.signature(s, 128).astype(np.uint8).tobytes())) for i, s in found.items()], "id long, body binary")
+    members = spark.createDataFrame([(7, i, i, len(s)) for i, s in found.items()], "key long, id long, component long, n long")
+    near = nd.tiled(members, signatures, 80, "1 / 8D", nd.alike(nd.least_alike(128, 80)), False).collect()
+    assert sorted((r["key"], r["id"]) for r in near) == [(7, i) for i in docs]
+    links = nd.tiled(members, sets, 80, "n / 100D", nd.similar(80), True).collect()
     assert reachable([(r["a"], r["b"]) for r in links], docs) == {i: i - i % 5 for i in docs}
 
 
+def test_sizes_of_linked_sets_are_in_neighbouring_classes():
+    base = 100 / 80 + 0.01
+    for a in range(1, 3000):
+        assert int(np.log(a * 5 // 4) / np.log(base)) - int(np.log(a) / np.log(base)) <= 1
+
+
+def test_hot_copies_and_empty_texts(frame, prose):
+    """Nine of ten rows are equal or empty."""
+    rows = [(i, prose("hot", 60)) for i in range(300)] + [(300 + i, None if i % 2 else " ") for i in range(300)] + [(600 + i, prose(i, 40)) for i in range(60)]
+    found = {r["doc_id"]: (r["component_id"], r["kept"]) for r in nd.near_duplicates(frame(rows)).collect()}
+    assert found == {i: (0, i == 0) if i < 300 else (i, True) for i, _ in rows}
+    assert sum(r["kept"] for r in ed.exact_duplicates(frame(rows)).collect()) == 1 + 2 + 60
+
+
+def test_word_hashes():
+    """Equal words have equal hashes wherever they stand, others don't; long texts and long words are cut between words only."""
+    r, h = random.Random(4), nd.WordHashes(nd.WHITE)
+    h.CHUNK = 64
+    h.up, h.down = h.powers(64)
+    texts = ["", " ", "x", "X y\tx", "é É", "a" * 300 + " b", " ".join(r.choice(["ab", "ba", "b", "a" * 70, "日本"]) for _ in range(200))]
+    texts += ["".join(r.choice("ab \n") for _ in range(r.randrange(150))) for _ in range(300)]
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t)
+    known = {}
+    for t, own in zip(texts, h.each(texts)):
+        words = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        assert len(words) == len(own)
+        assert all(known.setdefault(w, x) == x for w, x in zip(words, own.tolist()))
+    assert len(set(known.values())) == len(known)
+
+
 def test_circulant_signature_estimates_similarity():
     r = np.random.default_rng(0)
     a = r.integers(0, 2**63, 2000).astype(np.uint64)
