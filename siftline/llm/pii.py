@@ -11,6 +11,8 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -22,11 +24,11 @@ from siftline.llm.common import arrow_rows, spread, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: A match at the first digit of a run is one at any of its digits, so others needn't be tried.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
 _DIGIT = re.compile(r"[0-9]")
@@ -39,14 +41,17 @@ _DIGIT_WORDS = {w: str(d) for words in ("zero one two three four five six seven
 _WORDS = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 _SEP = r"[\x20,.\-]{1,2}"
 #: Four or more spelled digits in a row, or spelled digits beside written ones.
-_SPELLED = re.compile(rf"(?<![^\W_])(?:(?:{_WORDS})(?![^\W_])|[0-9])(?:{_SEP}(?:(?:{_WORDS})(?![^\W_])|[0-9]+(?![^\W_]))){{3,}}", re.IGNORECASE)
+_SPELLED = re.compile(rf"(?<![^\W_])(?:(?:{_WORDS})(?![^\W_])|[0-9])(?:{_SEP}(?:(?:{_WORDS})(?![^\W_])|[0-9]++(?![^\W_]))){{3,}}", re.IGNORECASE)
 _SPELLED_ITEM = re.compile(rf"({_WORDS})(?![^\W_])", re.IGNORECASE)
 _SPELLED_PLUS = re.compile(r"(?<![^\W_])plus(?=\x20[0-9])", re.IGNORECASE)
 _SPELLED_SET = frozenset(_DIGIT_WORDS)
 _AT = r"(?:\x20?[\[({<]\x20?(?:at|@|arroba|arobase|chez)\x20?[\])}>]\x20?|\x20(?:at|arroba|arobase)\x20|\x20@\x20)"
 _DOT = r"(?:\x20?[\[({<]\x20?(?:dot|\.|punto|punkt|point)\x20?[\])}>]\x20?|\x20(?:dot|punto|punkt|point)\x20|\x20\.\x20)"
-#: A whole disguised address: an "at" of some form, then a domain of which at least one part follows a "dot" of some form.
-_DISGUISED = re.compile(rf"[A-Za-z0-9._%+-]+(?:{_DOT}[A-Za-z0-9._%+-]+)*(?:{_AT}|@)[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)+", re.IGNORECASE)
+#: Of a disguised address: an "at" of some form, the domain after it, of which one part at least follows a "dot" of some form, and a "dot" right
+#: before its local part's last word.
+_SIGN = re.compile(rf"{_AT}|@", re.IGNORECASE)
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?:(?:{_DOT}|\.)[A-Za-z0-9-]++)++", re.IGNORECASE)
+_DOT_LAST = re.compile(rf"(?:{_DOT})\Z", re.IGNORECASE)
 _AT_ONE, _DOT_ONE = re.compile(_AT, re.IGNORECASE), re.compile(_DOT, re.IGNORECASE)
 _BRACKET_AT = re.compile(r"[\[({<]\x20?(?:at|@|arroba|arobase|chez)\x20?[\])}>]", re.IGNORECASE)
 _HINTS = ("@", " at ", "[at", "(at", "{at", "<at", "[ at", "( at", "{ at", "< at", "arroba", "arobase", "chez", " dot ", "dot]", "dot)", "dot}", "dot>", "dot ]", "dot )", "punto", "punkt", "point", " . ", "[.", "(.", "{.", "<.", "[ .", "( .", "{ .", "< .")
@@ -57,7 +62,7 @@ _FUNCTION = frozenset("the a an this that these those each every some any all on
 #: A word after which a name is an address.
 _CONTACT = re.compile(r"(?:e-?mail|mailto|mail|contact|write|reach|address|correo|courriel|kontakt)(?:\x20(?:to|me|us|is))?[\x20:,=(]{1,3}$", re.IGNORECASE)
 _FULL_STOP = "\x20.\x20"
-_DOT_IP = re.compile(rf"[0-9]+(?:(?:{_DOT}|\.)[0-9]+){{3}}", re.IGNORECASE)
+_DOT_IP = re.compile(rf"(?<![0-9])[0-9]++(?:(?:{_DOT}|\.)[0-9]++){{3}}", re.IGNORECASE)
 
 Span = tuple[int, int, str]
 
@@ -118,13 +123,13 @@ class Rewritten:
         """Replaces spans (ordered, apart) of the present text."""
         if not edits:
             return
-        start = self.start if self.start is not None else list(range(len(self.text)))
-        end = self.end if self.end is not None else list(range(1, len(self.text) + 1))
-        parts, s, e, at = [], [], [], 0
+        start = self.start if self.start is not None else array("i", range(len(self.text)))
+        end = self.end if self.end is not None else array("i", range(1, len(self.text) + 1))
+        parts, s, e, at = [], array("i"), array("i"), 0
         for a, b, new in edits:
             parts += [self.text[at:a], new]
-            s += start[at:a] + [start[a]] * len(new)
-            e += end[at:a] + [end[b - 1]] * len(new)
+            s += start[at:a] + start[a : a + 1] * len(new)
+            e += end[at:a] + end[b - 1 : b] * len(new)
             at = b
         self.text, self.start, self.end = "".join([*parts, self.text[at:]]), s + start[at:], e + end[at:]
 
@@ -145,35 +150,59 @@ def _spelled(lower: str) -> bool:
     return any(map(bool.__and__, is_digit, is_digit[1:]))
 
 
-def _address(text: str, m: re.Match) -> tuple[int, list[tuple[int, int, str]]]:
+def _local(text: str, at: int, low: int) -> int:
+    """Where the local part that ends at a place begins, not before ``low``: words, and disguised dots between them."""
+    start = at
+    while True:
+        end = start
+        while start > low and text[start - 1] in _LOCAL_CHARS:
+            start -= 1
+        if start == end:
+            return at if end == at else dotted
+        dotted = start
+        m = _DOT_LAST.search(text, max(low, start - 11), start)
+        if not m:
+            return start
+        start = m.start()
+
+
+def _disguised(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """(start, start of the "at", its end, end) of disguised addresses, from the left and apart, by looking around each "at" only. Sends back
+    where the next may begin."""
+    low, m = 0, _SIGN.search(text)
+    while m:
+        at, to = m.span()
+        host = _HOST.match(text, to)
+        start = _local(text, at, low) if host and at >= low else at
+        if start < at:
+            low = yield start, at, to, host.end()
+        m = _SIGN.search(text, max(at + 1, low))
+
+
+def _address(text: str, start: int, at: int, to: int, stop: int) -> tuple[int, list[tuple[int, int, str]]]:
     """Where a disguised address ends, and its edits; none if it is ordinary prose.
 
     "at" between spaces needs a local part with a dot or digit, a contact word before it, or a disguised dot; a host of a name, not of a word like
     "the"; and two letters at least after the last dot. A full stop between spaces ends a host that is whole, unless a known ending follows.
     """
-    whole = m[0]
-    signs = list(_AT_ONE.finditer(whole))
-    at, to = (signs[-1].start(), signs[-1].end()) if signs else (whole.rindex("@"), whole.rindex("@") + 1)
-    labels, ends = [], []  # of the host: labels, the separator before each, their ends
-    for x in re.finditer(rf"({_DOT}|\.)?([A-Za-z0-9-]+?)(?={_DOT}|\.|$)", whole[to:], re.IGNORECASE):
+    sign, labels, ends = text[at:to], [], []  # of the host: labels, and their ends
+    for x in re.finditer(rf"({_DOT}|\.)?([A-Za-z0-9-]+?)(?={_DOT}|\.|$)", text[to:stop], re.IGNORECASE):
         if x[1] == _FULL_STOP and len(labels) > 1 and x[2].lower() not in _ENDINGS:
             break
         labels.append(x[2].lower())
         ends.append(to + x.end())
-    worded = any("@" not in x[0] for x in signs)
-    if worded and not _BRACKET_AT.search(whole):
+    if "@" not in sign and not _BRACKET_AT.search(sign):
         while len(labels) > 1 and not (re.fullmatch("[a-z]{2,}", labels[-1]) and (labels[-1] in _ENDINGS or labels[-1] not in _FUNCTION)):
             labels.pop()
             ends.pop()
-        local = whole[:at].rpartition(_FULL_STOP)[2]
-        shaped = re.search("[A-Za-z]", local) and not local.endswith(".") and (re.search("[.0-9]", local) or _DOT_ONE.search(local) or _CONTACT.search(text[max(m.start() - 20, 0) : m.start()]))
-        dotted = bool(_DOT_ONE.search(whole, to, ends[-1])) if ends else False
+        local = text[start:at].rpartition(_FULL_STOP)[2]
+        shaped = re.search("[A-Za-z]", local) and not local.endswith(".") and (re.search("[.0-9]", local) or _DOT_ONE.search(local) or _CONTACT.search(text[max(start - 20, 0) : start]))
+        dotted = bool(_DOT_ONE.search(text, to, ends[-1])) if ends else False
         if len(labels) < 2 or labels[0] in _FUNCTION or local.lower() in _FUNCTION or not (shaped or dotted):
-            return m.end(), []
-    end = ends[-1] if len(labels) > 1 else len(whole)
-    edits = [(x.start(), x.end(), "@") for x in signs]
-    edits += [(*x.span(), ".") for x in _DOT_ONE.finditer(whole, 0, end) if not any(x.start() < y.end() and y.start() < x.end() for y in signs)]
-    return m.start() + end, sorted((m.start() + x, m.start() + y, new) for x, y, new in edits)
+            return stop, []
+    end = ends[-1] if len(labels) > 1 else stop
+    dots = [(*x.span(), ".") for side in ((start, at), (to, end)) for x in _DOT_ONE.finditer(text, *side)]
+    return end, sorted([*dots, *([(at, to, "@")] if sign != "@" else [])])
 
 
 def deobfuscated(text: str) -> Rewritten | None:
@@ -191,13 +220,16 @@ def deobfuscated(text: str) -> Rewritten | None:
         r.edit([(m.start() + 1, m.end(), "") for m in re.finditer(r"\+\x20(?=[0-9])", r.text)])
         r.edit([(m.start(), m.end(), "") for m in re.finditer(r"(?<=[0-9]),\x20?(?=[0-9])", r.text)])
     if any(x in lower for x in _HINTS):
-        edits = []
-        m = _DISGUISED.search(r.text)
-        while m:
-            end, found = _address(r.text, m)
-            edits += found
-            m = _DISGUISED.search(r.text, end)
-        r.edit(sorted(edits))
+        edits, every = [], _disguised(r.text)
+        found = next(every, None)
+        while found:
+            end, own = _address(r.text, *found)
+            edits += own
+            try:
+                found = every.send(end)
+            except StopIteration:
+                break
+        r.edit(edits)
         edits = []
         for m in _DOT_IP.finditer(r.text):
             edits += [(m.start() + x.start(), m.start() + x.end(), ".") for x in _DOT_ONE.finditer(m[0])]
@@ -211,10 +243,11 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     base = sorted(plain(text), key=order)
     more, r = [], deobfuscated(text)
     if r is not None:
-        taken: dict[str, list[Span]] = {k: [s for s in base if s[2] == k] for k in KINDS}
+        starts, ends = ({k: [s[i] for s in base if s[2] == k] for k in KINDS} for i in (0, 1))  # plain spans of a kind are apart
         for a, b, kind in plain(r.text):
             start, end = r.back(a, b)
-            if not any(start < y and x < end for x, y, _ in taken[kind]):
+            i = bisect_left(starts[kind], end) - 1
+            if i < 0 or ends[kind][i] <= start:
                 more.append((start, end, kind))
     return base, sorted({*base, *more}, key=order)
 
@@ -240,7 +273,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, text, ...) to (doc_id, found, base_sha256, spans), one row for each row of ``docs``.
 
     found: kind, start and end (code points, end exclusive), value as it stands in the source, plain (no disguise). Null and empty texts
-    have no spans. Texts are searched whole. Repeated rows and ids give as many rows; null ids stay null. Only doc_id and text are read.
+    have no spans. Texts are searched whole, in a time that grows with their length. Repeated rows and ids give as many rows; null ids stay
+    null. Only doc_id and text are read. An empty table gives no rows.
     """
     source = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
     return source.mapInArrow(_run, "doc_id long, found array<struct<kind string, start int, end int, value string, plain boolean>>, base_sha256 string, spans string")
