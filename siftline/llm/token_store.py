@@ -4,10 +4,12 @@ A rolling hash over the last ids cuts each document's ids where the content says
 A store is a folder of three Parquet tables:
 
 * ``chunks``: digest (BLAKE2b-128 of the ids as little-endian 32-bit integers), ids (binary, little-endian, 16 or 32 bits). Each chunk once.
-* ``recipes``: doc_id, start, n_tokens, root, chunks (digest and length of each, in order), in ascending doc_id order over the files, too.
+* ``recipes``: doc_id, start, n_tokens, root, part, rank, chunks (binary: a record of digest and length for each chunk, in order), in ascending
+  doc_id order over the files, too.
 * ``manifest``: one row for each part of the recipes: start, ids, rows, and the root of a hash tree over its documents' roots.
 
-A document's root is the Merkle root over its chunk digests. Reading recomputes each chunk's digest from its ids and each root from the recipe.
+A document's root is the Merkle root over its chunk digests. Reading recomputes each chunk's digest from its ids, each root from the recipe, and
+each part's root, rows and ids from the recipes.
 """
 
 from __future__ import annotations
@@ -22,18 +24,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.common import arrow_rows, drop_written, mix, spread, text_of, written
+from siftline.llm.common import arrow_rows, drop_written, mix, spread, text_of, writing, written
 from siftline.llm.pieces import encoder
 
 WINDOW, MEAN, LEAST, MOST = 8, 256, 64, 2048
-RECIPE = "array<struct<digest binary, n int>>"
-_SEEN = 200_000
+#: A chunk in a recipe.
+RECORD = np.dtype([("digest", "V16"), ("n", "<i4")])
+#: Digests of stored chunks that a task remembers.
+_SEEN = 100_000
 #: Digests that several tasks have met, up to which their table is broadcast (24 bytes each).
 BROADCAST_DIGESTS = 200_000
 
 
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
+_MIXED = mix(np.arange(1 << 16, dtype=np.uint64))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +56,7 @@ def marks(ids: np.ndarray, window: int = WINDOW, mean: int = MEAN) -> np.ndarray
     if len(ids) < window:
         return np.empty(0, np.int64)
     up, down = powers(len(ids))
-    total = np.cumsum(mix(np.arange(1 << 16, dtype=np.uint64))[ids] * down if ids.dtype.itemsize == 2 else mix(ids.astype(np.uint64)) * down)
+    total = np.cumsum(_MIXED[ids] * down if ids.dtype.itemsize == 2 else mix(ids.astype(np.uint64)) * down)
     rolled = total[window - 1 :].copy()
     rolled[1:] -= total[:-window]
     rolled *= up[: len(rolled)]
@@ -114,24 +119,32 @@ def crc_shift(crc: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
     return crc
 
 
+STAGED = "doc_id long, n_tokens long, root binary, chunks binary, digest binary, place long, ids binary"
+
+
 def _encode(path: str, end: int):
+    """Rows of documents (to ``chunks``), and rows of chunks that the task hasn't met before (from ``digest``)."""
+    kinds = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("root", pa.binary()), ("chunks", pa.binary()), ("digest", pa.binary()), ("place", pa.int64()), ("ids", pa.binary())])
+
+    def rows(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in kinds], schema=kinds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, seen, task, number = encoder(path), set(), TaskContext.get().partitionId() << 40, 0
-        tail = np.array([end], enc.dtype)
-        for b in arrow_rows(batches, 1000):
-            each = [x for t in b.column(1).to_pylist() for x in (enc.encode(t), tail)]
-            joined = np.concatenate(each) if each else tail[:0]
-            wide, sizes = joined.astype("<u4"), np.array([len(x) + 1 for x in each[::2]], np.int64)
+        tail = np.array([end], enc.dtype).tobytes()
+        for b in arrow_rows(batches, 500):
+            each = [enc.raw(t) + tail for t in b.column(1).to_pylist()]
+            joined = np.frombuffer(b"".join(each), enc.dtype)
+            wide, sizes = joined.astype("<u4"), np.array([len(x) // enc.dtype.itemsize for x in each], np.int64)
             ends, all_marks = np.cumsum(sizes), marks(joined)
             bounds = np.searchsorted(all_marks, np.append(0, ends), "right").tolist()
-            roots, count, digests, lengths, fresh_count, fresh, places, raw, start = [], [0], [], [], [0], [], [], [], 0
+            roots, recipes, fresh, places, raw, start = [], [], [], [], [], 0
             for i, size in enumerate(sizes.tolist()):
-                at, own = start, []
-                for to in cuts(size, (all_marks[bounds[i] : bounds[i + 1]] - start).tolist()):
+                at, own, lengths = start, [], cuts(size, (all_marks[bounds[i] : bounds[i + 1]] - start).tolist())
+                for to in lengths:
                     to += start
                     digest = hashlib.blake2b(wide[at:to], digest_size=16).digest()
                     own.append(digest)
-                    lengths.append(to - at)
                     if digest not in seen:
                         if len(seen) >= _SEEN:
                             seen.clear()
@@ -142,14 +155,13 @@ def _encode(path: str, end: int):
                         number += 1
                     at = to
                 start += size
-                digests += own
+                recipe = np.empty(len(own), RECORD)
+                recipe["digest"], recipe["n"] = np.frombuffer(b"".join(own), "V16"), np.diff(lengths, prepend=0)
+                recipes.append(recipe.tobytes())
                 roots.append(merkle(own))
-                count.append(len(digests))
-                fresh_count.append(len(fresh))
-            recipe = pa.StructArray.from_arrays([pa.array(digests, pa.binary()), pa.array(lengths, pa.int32())], names=["digest", "n"])
-            new = pa.StructArray.from_arrays([pa.array(fresh, pa.binary()), pa.array(places, pa.int64()), pa.array(raw, pa.binary())], names=["digest", "place", "ids"])
-            chunks = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), x) for at, x in ((count, recipe), (fresh_count, new))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(roots, pa.binary()), *chunks], names=["doc_id", "n_tokens", "root", "chunks", "fresh"])
+            yield rows(len(each), doc_id=b.column(0), n_tokens=sizes, root=roots, chunks=recipes)
+            if fresh:
+                yield rows(len(fresh), digest=fresh, place=places, ids=raw)
 
     return run
 
@@ -163,21 +175,23 @@ def _leaf(dtype: str):
     return run
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Is each root that of its recipe? Chunks get the number of ids that follow them in their document."""
-    for b in batches:
-        recipes = b.column("chunks").to_pylist()
-        ok = [merkle([x["digest"] for x in r]) == root for r, root in zip(recipes, b.column("root").to_pylist(), strict=True)]
-        after = [np.cumsum([0, *(x["n"] for x in r[:0:-1])])[::-1].tolist() if r else [] for r in recipes]
-        at = pa.array(np.cumsum([0, *map(len, recipes)]), pa.int32())
-        links = pa.StructArray.from_arrays([pa.array([x["digest"] for r in recipes for x in r], pa.binary()), pa.array([x for a in after for x in a], pa.int64())], names=["digest", "after"])
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens")), pa.ListArray.from_arrays(at, links), pa.array(ok)], names=["doc_id", "start", "n_tokens", "chunks", "sound"])
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk of a recipe: the number of ids that follow it in its document, and of the document whether its root is that of the
+    recipe."""
+    for b in arrow_rows(batches, 2000):
+        recipes = [np.frombuffer(x, RECORD) for x in b.column("chunks").to_pylist()]
+        each = [[x.tobytes() for x in r["digest"]] for r in recipes]
+        sound = np.array([merkle(own) == root for own, root in zip(each, b.column("root").to_pylist(), strict=True)], bool)
+        after = [r["n"][::-1].cumsum()[::-1] - r["n"] for r in recipes]
+        owner = np.repeat(np.arange(len(recipes)), [len(r) for r in recipes])
+        docs = [b.column(c).take(pa.array(owner)) for c in ("doc_id", "start", "n_tokens")]
+        yield pa.RecordBatch.from_arrays([*docs, pa.array(sound[owner]), pa.array([x for own in each for x in own], pa.binary()), pa.array(np.concatenate([*after, np.empty(0, np.int64)]), pa.int64())], names=["doc_id", "start", "n_tokens", "sound", "digest", "after"])
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         moved = crc_shift(b.column("crc").to_numpy(), 4 * b.column("after").to_numpy())
-        yield pa.RecordBatch.from_arrays([b.column("start"), pa.array(moved.astype(np.int64)), b.column("len")], names=["start", "part", "len"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "start", "n_tokens", "sound", "len")), pa.array(moved.astype(np.int64))], names=["doc_id", "start", "n_tokens", "sound", "len", "part"])
 
 
 def _part_roots(recipes: DataFrame, fan: int = 1024) -> DataFrame:
@@ -192,16 +206,19 @@ def _part_roots(recipes: DataFrame, fan: int = 1024) -> DataFrame:
 
 
 def verify_manifest(spark: SparkSession, path: str) -> bool:
-    """Do the recipes' roots give the roots of the manifest?"""
-    manifest = spark.read.parquet(f"{path}/manifest").select("part", F.col("root").alias("expected"))
-    found = _part_roots(spark.read.parquet(f"{path}/recipes"))
-    return manifest.join(found, "part", "full").where("not (root <=> expected)").isEmpty()
+    """Do the recipes give the roots, starts, rows and ids of the manifest, part by part?"""
+    manifest = spark.read.parquet(f"{path}/manifest").select("part", "start", "ids", "rows", F.col("root").alias("expected"))
+    recipes = spark.read.parquet(f"{path}/recipes")
+    sums = recipes.groupBy("part").agg(F.min("start").alias("own_start"), F.sum("n_tokens").alias("own_ids"), F.count("*").alias("own_rows"))
+    found = sums.join(_part_roots(recipes), "part")
+    same = "root <=> expected and start <=> own_start and ids <=> own_ids and rows <=> own_rows"
+    return manifest.join(found, "part", "full").where(f"not ({same})").isEmpty()
 
 
 def _unique(staged: DataFrame) -> DataFrame:
     """Each chunk once: digest, ids. Tasks have left out what they had met before; of the chunks that several tasks met, the first place stays.
     Only digests are shuffled, unless the copies to leave out are too many for a broadcast."""
-    chunks = staged.select(F.explode("fresh").alias("c")).select("c.*")
+    chunks = staged.where("digest is not null").select("digest", "place", "ids")
     first = chunks.select("digest", "place").groupBy("digest").agg(F.min("place").alias("place"), F.count("*").alias("c"))
     many = written(first.where("c > 1").select("digest", "place"), "many")
     if many.count() <= BROADCAST_DIGESTS:
@@ -214,14 +231,17 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """Writes a store of (doc_id, text, ...) to a new folder ``path``.
 
     Null texts are empty: such a document is its end id. Null doc_ids come first, rows of the same doc_id one after the other by their roots.
-    An empty table makes a store without rows. Only doc_id and text are read. Texts are read whole; only ids, not texts, are shuffled.
+    An empty table makes a store without rows. Only doc_id and text are read. Texts of any length are read whole; only ids and recipes, not
+    texts, are shuffled.
     """
     spark = docs.sparkSession
     source = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
-    staged = written(source.mapInArrow(_encode(tokenizer, end_id), f"doc_id long, n_tokens long, root binary, chunks {RECIPE}, fresh array<struct<digest binary, place long, ids binary>>"), "staged")
+    staged = written(source.mapInArrow(_encode(tokenizer, end_id), STAGED), "staged")
     order = ["doc_id", "root"]
-    parts = written(staged.drop("fresh").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "ordered")
-    _unique(staged).write.parquet(f"{path}/chunks")
+    recipes = staged.where("root is not null").select("doc_id", "n_tokens", "root", "chunks")
+    parts = written(recipes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()), "ordered")
+    with writing(spark):
+        _unique(staged).write.parquet(f"{path}/chunks")
     drop_written(spark, staged)
     #: a row for each partition, so a few thousand at most; its running sum needs one task
     totals = parts.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("rows"))
@@ -229,25 +249,30 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     within = Window.partitionBy("part").orderBy(*order)
     placed = parts.withColumn("before", F.coalesce(F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("rank", F.row_number().over(within) - 1)
     placed = placed.join(F.broadcast(bases.select("part", "base")), "part").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "root", "part", "rank", "chunks")
-    placed.repartitionByRange("start").sortWithinPartitions("start").write.parquet(f"{path}/recipes")
+    with writing(spark):
+        placed.repartitionByRange("start").sortWithinPartitions("start").write.parquet(f"{path}/recipes")
+    drop_written(spark, parts)
+    bases = spark.read.parquet(f"{path}/recipes").groupBy("part").agg(F.min("start").alias("base"), F.sum("n_tokens").alias("ids"), F.count("*").alias("rows"))
     bases.select("part", F.col("base").alias("start"), "ids", "rows").join(_part_roots(spark.read.parquet(f"{path}/recipes")), "part").write.parquet(f"{path}/manifest")
 
 
 def read_store(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
-    """Each document from the files of a store: doc_id, start, n_tokens, ids_crc32, sound (all digests and roots are right)."""
+    """Each document from the files of a store: doc_id, start, n_tokens, ids_crc32, sound (the manifest and all the document's digests, and its
+    root, are right). A store without rows gives none."""
+    whole = verify_manifest(spark, path)
     dtype = encoder(tokenizer).dtype.str
     chunks = spark.read.parquet(f"{path}/chunks").select("digest", "ids").mapInArrow(_leaf(dtype), "digest binary, crc long, len int")
-    recipes = spark.read.parquet(f"{path}/recipes").mapInArrow(_roots, "doc_id long, start long, n_tokens long, chunks array<struct<digest binary, after long>>, sound boolean")
-    links = recipes.select("start", F.explode("chunks").alias("c")).select("start", "c.digest", "c.after")
-    each = links.join(chunks, "digest").mapInArrow(_placed, "start long, part long, len int")
-    found = each.groupBy("start").agg(F.bit_xor("part").alias("ids_crc32"), F.sum("len").alias("got"))
-    out = recipes.drop("chunks").join(found, "start", "left")
-    return out.select("doc_id", "start", "n_tokens", "ids_crc32", (F.col("sound") & F.coalesce(F.col("got") == F.col("n_tokens"), F.lit(False))).alias("sound"))
+    links = spark.read.parquet(f"{path}/recipes").mapInArrow(_links, "doc_id long, start long, n_tokens long, sound boolean, digest binary, after long")
+    each = links.join(chunks, "digest", "left").withColumns({"crc": F.coalesce("crc", F.lit(0)), "len": F.coalesce("len", F.lit(0))})
+    found = each.mapInArrow(_placed, "doc_id long, start long, n_tokens long, sound boolean, len int, part long").groupBy("start")
+    out = found.agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.bit_xor("part").alias("ids_crc32"), F.sum("len").alias("got"), F.bool_and("sound").alias("sound"))
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32", (F.lit(whole) & F.col("sound") & (F.col("got") == F.col("n_tokens"))).alias("sound"))
 
 
 def restore(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     """Each document's ids (array<int>) put together again from its chunks."""
-    links = spark.read.parquet(f"{path}/recipes").select("doc_id", "start", F.posexplode("chunks").alias("at", "c")).select("doc_id", "start", "at", F.col("c.digest").alias("digest"))
+    digests = F.expr("transform(sequence(0, octet_length(chunks) div 20 - 1), i -> substring(chunks, cast(20 * i + 1 as int), 16))")
+    links = spark.read.parquet(f"{path}/recipes").select("doc_id", "start", F.posexplode(digests).alias("at", "digest"))
     whole = links.join(spark.read.parquet(f"{path}/chunks"), "digest").groupBy("doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("parts"))
     dtype = encoder(tokenizer).dtype.str
 
