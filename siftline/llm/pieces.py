@@ -14,9 +14,11 @@ import regex
 #: A space that nothing white precedes or follows always begins a pre-token, so text may be cut before it.
 _WIDE = re.compile(r"\s |\s\Z| \s|\A ")
 LIMIT, LONG = 300_000, 64
-#: Characters whose class isn't the same in all regex libraries; a piece with one is left to the tokenizer whole.
-_ODD = regex.compile(r"[^\p{L}\x00-\x1b\x20-\x7f]")
-_PRETOKENS = regex.compile(public_tokenizers.PATTERN)
+#: Characters whose class may not be the same in all regex libraries, as their tables are of different years.
+_ODD = re.compile(r"[^\x00-\x1b\x20-\x7f]")
+_PRETOKENS, _BLANK = regex.compile(public_tokenizers.PATTERN), regex.compile(r"\s+")
+#: A character of each class: a letter that ends no contraction, a digit, white space other than a space, anything else.
+_LETTER, _NUMBER, _WHITE, _OTHER = "q0\x0b#"
 
 
 def byte_characters() -> dict[int, str]:
@@ -33,9 +35,41 @@ def odd(piece: str) -> bool:
     return _ODD.search(piece) is not None
 
 
-def pretokens(piece: str) -> list[str]:
-    """What the byte-level pre-tokenizer makes of a piece that isn't odd."""
-    return _PRETOKENS.findall(piece)
+class Classes(dict):
+    """Code points to a character of the class that a tokenizer's own pre-tokenizer takes them for; asked once each outside ASCII."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, point: int) -> str:
+        ch = chr(point)
+        if not odd(ch):
+            found = ch
+        elif len(self.split(f"q{ch}")) == 1:
+            found = _LETTER
+        elif len(self.split(f"0{ch}")) == 1:
+            found = _NUMBER
+        elif len(self.split(f"#{ch}")) == 1:
+            found = _OTHER
+        else:
+            found = _WHITE
+        self[point] = found
+        return found
+
+    def pretokens(self, piece: str) -> list[str]:
+        """What the tokenizer's pre-tokenizer makes of any piece."""
+        if not odd(piece):
+            return _PRETOKENS.findall(piece)
+        return [piece[m.start() : m.end()] for m in _PRETOKENS.finditer(piece.translate(self))]
+
+    def plain(self, word: str) -> bool:
+        """Letters alone, one pre-token after a space."""
+        return (word if word.isascii() else word.translate(self)).isalpha()
+
+    def blanks(self, piece: str):
+        """The matches of its runs of white space."""
+        return _BLANK.finditer(piece.translate(self) if odd(piece) else piece)
 
 
 def cut(text: str) -> tuple[str, list[str]]:
@@ -112,7 +146,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenize = self.tokenizer.model.tokenize
+        self.tokenize, self.classes = self.tokenizer.model.tokenize, Classes(self.tokenizer)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -131,24 +165,25 @@ class Encoder:
 
     def word(self, rest: str) -> bytes:
         """A piece after a space. Letters alone are one pre-token."""
-        if rest.isalpha():
+        if self.classes.plain(rest):
             return self.ids(SPACE + rest) if rest.isascii() else self.pretoken(" " + rest)
         return self.piece(" " + rest)
 
     def piece(self, piece: str) -> bytes:
-        if odd(piece):
-            return self.whole(piece)
-        return b"".join([self.spaced[t[1:]] if t[0] == " " and t[1:].isalpha() else self.tokens[t] for t in pretokens(piece)])
+        return b"".join([self.spaced[t[1:]] if t[0] == " " and self.classes.plain(t[1:]) else self.tokens[t] for t in self.classes.pretokens(piece)])
 
-    def encode(self, text: str) -> np.ndarray:
-        """Exactly the ids of the library; a text with a special string goes to it whole."""
+    def raw(self, text: str) -> bytes:
+        """Exactly the ids of the library, as bytes; a text with a special string goes to it whole."""
         if any(s in text for s in self.specials):
-            return np.frombuffer(self.whole(text), self.dtype)
+            return self.whole(text)
         spaced, out = self.spaced.__getitem__, []
         for line in lines(text):
             head, rest = parts(line)
             out.append(b"".join([self.first[head], *map(spaced, rest)]))
-        return np.frombuffer(self.newline.join(out), self.dtype)
+        return self.newline.join(out)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.raw(text), self.dtype)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -36,7 +36,7 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(found, x -> x.plain and x.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, "base_sha256", "spans")
+    return found.select("doc_id", *counts, "base_sha256", "spans", F.size("found").cast("long").alias("n_spans"))
 
 
 def _remainder(parts: int):
@@ -70,7 +70,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 1024)
+    found = token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "n_chars_within")
 
 
 QUERIES = {

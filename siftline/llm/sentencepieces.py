@@ -25,7 +25,9 @@ from siftline.llm.pieces import Memory
 SIGN = "▁"
 #: Characters of a part up to which its agenda is a row of a table, worked through together with the rows of the batch's other new parts; a
 #: longer one has a heap of its own. Rows of such a table at most.
-SHORT, ROWS = 32, 20_000
+SHORT, ROWS = 32, 5_000
+#: Words and parts that a worker remembers.
+KNOWN = 150_000
 _NONE, _GONE = np.int32(2**31 - 1), -(2**31)
 _RUNS = re.compile(f"{SIGN}+[^{SIGN}]*")
 Word = tuple[bytes, int, str]
@@ -51,7 +53,7 @@ class Pieces:
         #: characters that stand side by side in some piece; between others nothing is ever merged
         self.side = {p.piece[i : i + 2] for p in model.pieces if p.type == 1 for i in range(len(p.piece) - 1)}
         #: words and their parts; a part is encoded as the word of the same text
-        self.known = Memory()
+        self.known = Memory(limit=KNOWN)
         self.new: list[tuple[str, list[int], str]] = []
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
@@ -164,6 +166,8 @@ class Pieces:
                 some = same[at : at + ROWS]
                 for text, ids in zip(some, self.table(some) if n <= SHORT else map(self.agenda, some), strict=True):
                     decoded = self.decode(ids)
+                    if decoded == text:
+                        decoded = text  # one string for both
                     self.new.append((text, ids, decoded))
                     out[text] = (b"".join(map(decimal, ids)), len(ids), decoded)
         return out
@@ -214,7 +218,8 @@ class Pieces:
         for w, ps in fresh.items():
             if w not in got and len(ps) > 1:
                 found = [got.get(p) or known[p] for p in ps]
-                got[w] = (b"".join([f[0] for f in found]), sum([f[1] for f in found]), "".join([f[2] for f in found]))
+                decoded = "".join([f[2] for f in found])
+                got[w] = (b"".join([f[0] for f in found]), sum([f[1] for f in found]), w if decoded == w else decoded)
         out = [[got.get(w) or known[w] for w in ws] for ws in words] if got else [list(map(known.__getitem__, ws)) for ws in words]
         for k, v in got.items():
             known.keep(k, v)
@@ -235,7 +240,7 @@ def _run(path: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         tail = b" %d" % model.end
-        for b in arrow_rows(batches, 1000):
+        for b in arrow_rows(batches, 500):
             n, shas, texts, all_ids = [], [], [], []
             for words in model.encode_batch(b.column(1).to_pylist()):
                 raw = (b"".join([w[0] for w in words]) + tail)[1:]

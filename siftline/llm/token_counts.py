@@ -3,7 +3,8 @@
 The encoding of a run of bytes ends with the one token t for which the encoding of what precedes it, followed by t, is stable: the last
 token before t and t don't merge otherwise when encoded together. So the last token and the count at each place follow from earlier places,
 and one pass gives the counts of all prefixes. Truncation ("how long a prefix has at most n tokens?") and budgets are look-ups in them.
-Texts are cut into pieces whose tokens don't depend on their surroundings; the counts of each new piece are kept in the worker's memory.
+Texts are cut into pieces whose tokens don't depend on their surroundings; the counts of each new piece are kept in the worker's memory. The
+library is only asked to which class (letter, number, white space, other) each character outside the common ones belongs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.common import arrow_rows, spread, text_of
-from siftline.llm.pieces import BYTE_CHARACTERS, LIMIT, Memory, cut, lines, odd, parts, pretokens
+from siftline.llm.pieces import BYTE_CHARACTERS, LIMIT, Classes, Memory, cut, lines, parts
 
 
 class PrefixCounts:
@@ -56,8 +57,8 @@ class PrefixCounts:
                 self.ending.add_word(t.decode("latin-1"), (len(t), o))
         self.ending.make_automaton()
         self.stable: dict[int, bool] = {}
-        self.tokens, self.first, self.spaced = Memory(self.pretoken), Memory(self.total), Memory(self.after_space)
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokens, self.first, self.spaced = Memory(self.pretoken, LIMIT // 3), Memory(self.total, LIMIT // 6), Memory(self.after_space)
+        self.classes = Classes(Tokenizer.from_file(path))
 
     def merged(self, text: bytes) -> list[int]:
         """The tokens of a short run by its merges in order; only to prove that tokens are what their own bytes are encoded to."""
@@ -115,30 +116,47 @@ class PrefixCounts:
 
     def total(self, piece: str) -> int:
         """Tokens of a piece, without its prefixes'."""
-        if odd(piece):
-            return len(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        return sum([self.spaced[t[1:]] if t[0] == " " and t[1:].isalpha() else self.tokens[t][-1] for t in pretokens(piece)])
+        return sum([self.spaced[t[1:]] if t[0] == " " and self.classes.plain(t[1:]) else self.tokens[t][-1] for t in self.classes.pretokens(piece)])
 
     def after_space(self, rest: str) -> int:
-        return self.run(f" {rest}".encode())[-1] if rest.isalpha() else self.total(" " + rest)
+        return self.run(f" {rest}".encode())[-1] if self.classes.plain(rest) else self.total(" " + rest)
 
     def prefixes(self, piece: str) -> list[int]:
         """Counts of all prefixes of a piece that begins a text or stands after a cut."""
-        if odd(piece):
-            return [len(self.tokenizer.encode(piece[: i + 1], add_special_tokens=False).ids) for i in range(len(piece))]
         out: list[int] = []
-        done, before = 0, ""
-        for t in pretokens(piece):
-            if t[-1].isspace() or t[0] == "'" or (before and before[-1].isspace()):
-                # a prefix may end inside white space or an apostrophe's ending, where it is split otherwise than the whole
-                base = done - (self.tokens[before][-1] if before else 0)
-                out += [base + self.total(before + t[: i + 1]) for i in range(len(t))]
+        done = 0
+        for t in self.classes.pretokens(piece):
+            counts = self.tokens[t]
+            if t[0] == "'" and t[1:].isascii() and t[1:].isalpha():  # until it is whole, an apostrophe's ending is the apostrophe and a word
+                out += [done + self.tokens["'"][-1] + (self.tokens[t[1:i]][-1] if i > 1 else 0) for i in range(1, len(t))] + [done + counts[-1]]
             else:
-                out += [done + c for c in self.tokens[t]]
-            done += self.tokens[t][-1]
-            before = t
+                out += [done + c for c in counts]
+            done += counts[-1]
+        for m in self.classes.blanks(piece):  # a prefix that ends in white space ends in one pre-token of all of it
+            a, b = m.span()
+            base = out[a - 1] if a else 0
+            out[a:b] = [base + c for c in self.tokens[piece[a:b]]]
         return out
 
+    def longest(self, text: str, limit: int) -> int:
+        """Characters of the longest prefix of at most ``limit`` tokens. Counts may fall as a prefix grows, but not over a cut."""
+        if any(s in text for s in self.specials):
+            ok = np.flatnonzero(self.every(text) <= limit)
+            return int(ok[-1]) + 1 if len(ok) else 0
+        head, rest = cut(text)
+        best = size = done = 0
+        for piece in ([head] if head else []) + [" " + x for x in rest]:
+            if done >= limit:
+                break
+            total = self.total(piece)
+            if done + total <= limit:
+                best = size + len(piece)
+            else:
+                best = max([best, *(size + i + 1 for i, c in enumerate(self.prefixes(piece)) if done + c <= limit)])
+            size += len(piece)
+            done += total
+        return best
+
     def _split(self, text: str) -> list[str]:
         """A text at its special strings: odd members are special."""
         import re
@@ -194,24 +212,29 @@ def _source(docs: DataFrame) -> DataFrame:
     return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
 
 
-def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text, ...) to (doc_id, n_bytes, n_tokens), one row for each row of ``docs``; the last of each text's prefix counts.
+def token_counts(docs: DataFrame, tokenizer: str, limit: int) -> DataFrame:
+    """(doc_id, text, ...) to (doc_id, n_bytes, n_tokens, n_chars_within), one row for each row of ``docs``: the last of each text's prefix counts,
+    and the characters of its longest prefix of at most ``limit`` tokens.
 
-    Null and empty texts have no bytes and no tokens. Special strings in texts count as one token, the library's default. Repeated rows and
-    null ids stay. Only doc_id and text are read.
+    Null and empty texts have no bytes, tokens and characters. Special strings in texts count as one token, the library's default. Texts of any
+    length are counted whole. Repeated rows and null ids stay. Only doc_id and text are read. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = prefix_counts(tokenizer)
-        for b in arrow_rows(batches, 1000):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([counts.count(t) for t in b.column(1).to_pylist()], pa.int64()), b.column(2)], names=["doc_id", "n_tokens", "n_bytes"])
+        for b in arrow_rows(batches, 500):
+            texts = b.column(1).to_pylist()
+            n = [counts.count(t) for t in texts]
+            within = [len(t) if k <= limit else counts.longest(t, limit) for t, k in zip(texts, n, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(within, pa.int64())], names=["doc_id", "n_bytes", "n_tokens", "n_chars_within"])
 
-    return _source(docs).withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(run, "doc_id long, n_tokens long, n_bytes long").select("doc_id", "n_bytes", "n_tokens")
+    return _source(docs).withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, n_chars_within long")
 
 
 def prefix_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, text, ...) to (doc_id, counts array<int>): the exact token count of the first 1, 2, ... characters. Stored, it answers
-    truncation (``longest_prefix``) and budget questions without encoding again."""
+    truncation (``longest_prefix``) and budget questions without encoding again. Null and empty texts have no counts; texts of any length are
+    counted whole; repeated rows and null ids stay; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = prefix_counts(tokenizer)
