@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.llm import quality
-from siftline.llm.common import spread, table, text_of, written
+from siftline.llm.common import drop_written, table, text_of, written
 from siftline.llm.decontamination import contamination
 from siftline.llm.exact_dedup import digest, exact_duplicates
 from siftline.llm.near_dedup import near_duplicates
@@ -22,13 +22,16 @@ GOOD = 0.3
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Good documents, by a classifier of the labelled ones that aren't held out."""
+    """Good documents, by a classifier of the labelled ones that aren't held out. Each row is scored by its whole text, null as the empty one;
+    a score of just GOOD is accepted. Without labels of both kinds every score is 0.5, and all rows stay. Null ids and repeated rows are rows
+    like others; an empty table gives none."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-    return spread(docs).where(quality.score_column(model) >= GOOD)
+    return quality.accepted(docs, model, GOOD)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document of the largest id."""
+    """Of equal texts, null as the empty one, the document of the largest id. A null id is smaller than all others; rows that repeat the id that
+    stays are the same document and stay, too. Whole texts are compared; an empty table gives no rows."""
     found = exact_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest(text_of()) == F.col("_digest"))
     return docs.join(written(found, "copies"), same, "left_anti")
@@ -55,17 +58,19 @@ def _without(spark: SparkSession, docs: DataFrame, dropped, name: str) -> DataFr
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id."""
+    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8 or more) the document of the smallest id, a null id after all
+    others. Texts without words, null ones too, are like none and stay. An empty table gives no rows."""
     return _without(spark, docs, lambda d: near_duplicates(d, k=5, percent=80).where("not kept"), "near")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item, each row by its own whole text. Texts without words, null ones too, stay; without items all
+    do. An empty table gives no rows."""
     return _without(spark, docs, lambda d: contamination(d, table(spark, sf_dir, "benchmark")).where("contaminated"), "leaks")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, ids_sha256, decoded."""
+    """doc_id, n_tokens, ids, ids_sha256, decoded of each row, null ids and repeated rows too; a null text is the end id alone."""
     return encoded(docs, vocabulary("piece_bpe_32k.model"))
 
 
@@ -83,6 +88,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of documents, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "stage")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        after = written(stage(spark, docs, sf_dir), "stage")
+        if k:
+            drop_written(spark, docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
