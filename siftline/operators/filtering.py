@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.quality import KEEP_LENGTH, KEEP_SCORE, STATS, reasons, score, stats
 from siftline.functions.text import content_hash
+from siftline.plans.stored import stored
 
 ORDER = ("source_path", "chunk_index")
 TOP_REASONS, CHART_REASONS = 15, 12
@@ -23,12 +24,13 @@ def scored(chunks: DataFrame) -> DataFrame:
 def with_duplicates(chunks: DataFrame) -> DataFrame:
     """Adds content_hash and is_duplicate: true but for the first chunk, by source_path and chunk_index, of those with a hash.
 
-    The first of each repeated hash comes from a partial aggregate and is joined back, so a text with any number of copies is never
-    gathered in one task, as a window over the hash would; Spark broadcasts the repeated hashes where they are few.
+    Chunks and hashes are worked out once, into a table. The first of each repeated hash comes from a partial aggregate and is joined back from
+    a table, too, so a text with any number of copies is never gathered in one task, as a window over the hash would: Spark broadcasts the repeated
+    hashes where they are few, and splits the rows of hot ones where they are many.
     """
-    hashed = chunks.withColumn("content_hash", content_hash(F.coalesce(F.col("text"), F.lit(""))))
+    hashed = stored(chunks.withColumn("content_hash", content_hash(F.coalesce(F.col("text"), F.lit("")))), "hashed")
     place = F.struct(*ORDER)
-    first = hashed.groupBy("content_hash").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    first = stored(hashed.groupBy("content_hash").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies"), "first")
     return hashed.join(first, "content_hash", "left").withColumn("is_duplicate", F.coalesce(place != F.col("first"), F.lit(False))).drop("first")
 
 

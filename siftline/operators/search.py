@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions import vectors
 from siftline.functions.text import fold, strip
+from siftline.plans.stored import stored
 
 # Words that say nothing about a query, signs of official templates, weights of the rerank, sizes of the searches.
 STOP = (
@@ -115,14 +116,13 @@ def search_documents(index: DataFrame, query: str, query_vector: Column | DataFr
 def search_with_fallback(best: DataFrame, every: DataFrame, query: str, query_vector: Column | DataFrame, docs: int = DOCS, per_doc: int = PER_DOC, weak: float = WEAK, topic: Topic = Topic(), key: str = "id") -> DataFrame:
     """The search in the high-quality chunks; where its best document scores under ``weak`` or there is none, that in all chunks. Adds label.
 
-    One plan: which of the two is shown is a broadcast row, no job of its own.
+    The few rows of the first search are written, and their best score decides whether the second is run at all.
     """
-    high = search_documents(best, query, query_vector, BEST_CHUNKS, docs, per_doc, topic, key)
-    low = search_documents(every, query, query_vector, ALL_CHUNKS, docs, per_doc, topic, key)
-    strong = F.broadcast(high.agg(F.coalesce(F.max("doc_score") >= weak, F.lit(False)).alias("strong")))
-    high = high.withColumn("label", F.lit("HQ")).crossJoin(strong).where("strong")
-    low = low.withColumn("label", F.lit("ALL")).crossJoin(strong).where("not strong")
-    return high.unionByName(low).drop("strong")
+    high = stored(search_documents(best, query, query_vector, BEST_CHUNKS, docs, per_doc, topic, key), "high")
+    top = high.agg(F.max("doc_score")).first()[0]
+    if top is not None and top >= weak:
+        return high.withColumn("label", F.lit("HQ"))
+    return search_documents(every, query, query_vector, ALL_CHUNKS, docs, per_doc, topic, key).withColumn("label", F.lit("ALL"))
 
 
 def full_text(found: DataFrame, docs: DataFrame, size: int = 6000) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from siftline.functions import quality, text, vectors
 from siftline.operators import chunking, cleaning, filtering, interactive, search
+from siftline.plans.stored import new_path, stored
+from siftline.sources import files, plugins
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,15 +73,15 @@ def _words(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')"
 
 
-def _packed(source: str) -> str:
-    """CTEs that end in chunks(source_path, chunk_index, text) of a query for (source_path, text)."""
+def _packed(source: str, last: str = "x.n") -> str:
+    """CTEs that end in chunks(source_path, chunk_index, text) of a query for (source_path, text). last: where windows of a long paragraph end."""
     return f"""
     given AS ({source}),
     paras AS (SELECT source_path, list_filter(list_transform(regexp_split_to_array({_strip("text")}, '\\n\\s*\\n+'), lambda p: {_strip("p")}), lambda p: p <> '') AS ps FROM given),
     counted AS (SELECT source_path, list_transform(ps, lambda p: {{'done': [p], 'open': {_words("p")}, 'n': len({_words("p")})}}) AS es FROM paras),
     folded AS (SELECT source_path, list_reduce(es, lambda s, x:
         CASE WHEN x.n > 500 THEN {{'done': list_concat(s.done, CASE WHEN len(s.open) > 0 THEN [array_to_string(s.open, chr(10) || chr(10))] ELSE []::VARCHAR[] END,
-                                      list_transform(range(0, x.n, 420), lambda i: array_to_string(x.open[i + 1 : i + 500], ' '))), 'open': []::VARCHAR[], 'n': 0::BIGINT}}
+                                      list_transform(range(0, {last}, 420), lambda i: array_to_string(x.open[i + 1 : i + 500], ' '))), 'open': []::VARCHAR[], 'n': 0::BIGINT}}
              WHEN s.n + x.n > 500 THEN {{'done': list_concat(s.done, CASE WHEN len(s.open) > 0 THEN [array_to_string(s.open, chr(10) || chr(10))] ELSE []::VARCHAR[] END), 'open': x.done, 'n': x.n}}
              ELSE {{'done': s.done, 'open': list_concat(s.open, x.done), 'n': s.n + x.n}} END,
         {{'done': []::VARCHAR[], 'open': []::VARCHAR[], 'n': 0::BIGINT}}) AS s FROM counted),
@@ -210,6 +212,11 @@ def clean_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", cleaning.tidy(cleaning.strip_markup(F.coalesce("html", F.lit("")))).alias("text"))
 
 
+def _re2(pattern: str) -> str:
+    """A pattern of the operators for DuckDB, whose classes know Unicode anyway."""
+    return pattern.replace("(?iU)", "(?i)")
+
+
 #: Every fifth document gets a site line after its first line, and an index block over what follows; every tenth's block has no end.
 _INJECTED = """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN regexp_replace(coalesce(text, ''), '\\n', chr(10) || 'Dirección en Internet: www.eluniverso.com' || chr(10) || '## INDICE' || chr(10) || 'one .. 1' || chr(10)
     || CASE WHEN doc_id % 10 = 0 THEN '' ELSE '## EDC more' || chr(10) END) ELSE coalesce(text, '') END AS text FROM documents"""
@@ -218,8 +225,8 @@ _INJECTED = """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN regexp_replace(coale
 @query(
     f"""WITH injected AS ({_INJECTED}),
     ls AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\\n')) AS line, unnest(range(0, len(regexp_split_to_array(text, '\\n')))) AS no FROM injected),
-    marked AS (SELECT *, regexp_matches({_strip("line")}, '(?i)^(DIRECCI[ÓOó]N EN INTERNET:)?\\s*www\\.eluniverso\\.com$') AS web, regexp_matches({_strip("line")}, '(?i)^##\\s*INDICE$') AS opens,
-        regexp_matches({_strip("line")}, '(?i)^##\\s*(Ayuda a|EDC|Se increment[óÓ]|Bancomex|Mas provisiones|Recaudaciones|out clausuro)\\b') AS ends FROM ls),
+    marked AS (SELECT *, regexp_matches({_strip("line")}, '{_re2(cleaning.SITE_LINE)}') AS web, regexp_matches({_strip("line")}, '{_re2(cleaning.INDEX_START)}') AS opens,
+        regexp_matches({_strip("line")}, '{_re2(cleaning.INDEX_END)}') AS ends FROM ls),
     state AS (SELECT *, last_value(CASE WHEN opens THEN 1 WHEN ends THEN 0 END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS skip FROM marked WHERE NOT web)
     SELECT i.doc_id, {_strip("regexp_replace(coalesce(s.text, ''), '\\n{4,}', chr(10) || chr(10) || chr(10), 'g')")} || chr(10) AS text FROM injected i
     LEFT JOIN (SELECT doc_id, string_agg(regexp_replace(line, '\\s+$', ''), chr(10) ORDER BY no) AS text FROM state WHERE coalesce(skip, 0) = 0 GROUP BY doc_id) s ON i.doc_id = s.doc_id"""
@@ -343,7 +350,7 @@ _GOOD = _SCORED + ", good AS (SELECT DISTINCT source_path AS good_path FROM kept
 )
 def hq_all_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = index(spark, sf_dir)
-    good = filter_kept(spark, sf_dir).select(F.col("source_path").cast("long").alias("id")).distinct().persist()  # both branches ask for it
+    good = stored(filter_kept(spark, sf_dir).select(F.col("source_path").cast("long").alias("id")).distinct(), "good")
     return _shown(search.search_with_fallback(every.join(good, "id", "left_semi"), every, ASKED, asked(spark, sf_dir)), "label")
 
 
@@ -404,3 +411,162 @@ def hit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = search.search_documents(index(spark, sf_dir), ASKED, asked(spark, sf_dir)).select(F.col("source_path").alias("source"), F.col("id").cast("string").alias("source_path"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_path"), "text")
     return search.full_text(found, docs).select(F.col("source").alias("source_path"), F.col("source_path").cast("long").alias("id"), "full_text")
+
+
+# --- sources and sinks: what is written to the shared folder and read again ---
+
+
+@query(f"WITH {_CHUNKS} SELECT source_path, chunk_index, text, false AS is_blank FROM chunks")
+def chunk_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "records")
+    files.write_records(chunks(spark, sf_dir), path)
+    return files.read_chunk_lines(spark, path).select("source_path", "chunk_index", "text", "is_blank")
+
+
+@query(f"WITH {_SCORED} SELECT source_path, chunk_index, round(score, 4) AS quality_score, text FROM kept WHERE keep")
+def filtered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "filtered")
+    files.write_records(filtering.kept(judged(spark, sf_dir)), path)
+    return files.read_chunks(spark, path, files.FILTERED)
+
+
+@query(f"WITH {_CHUNKS} SELECT regexp_replace(source_path, '\\.[^./]+$', '') || '/chunk_' || lpad(chunk_index::VARCHAR, 4, '0') AS chunk, sha256(text || chr(10)) AS text_sha256 FROM chunks WHERE source_path::BIGINT % 20 = 0")
+def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each chunk, which is for people to look at: of every twentieth document. The operator writes those it is given."""
+    path = new_path(spark, "texts")
+    files.write_chunk_texts(chunks(spark, sf_dir).where("cast(source_path as long) % 20 = 0"), path)
+    found = spark.read.text(path, wholetext=True)
+    chunk = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "/chunk=([^/]*)/", 1))
+    return found.select(F.url_decode(chunk).alias("chunk"), F.sha2(F.regexp_replace("value", "\\n\\z", ""), 256).alias("text_sha256"))
+
+
+@query("SELECT page_id::VARCHAR AS doc, sha256(coalesce(html, '') || chr(10)) AS raw_sha256 FROM pages WHERE html IS NOT NULL")
+def raw_markdown_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with raw.md for each page."""
+    path = new_path(spark, "raw")
+    files.write_named_files(table(spark, sf_dir, "pages"), path, "raw.md", "page_id", "html")
+    return files.read_raw_markdown(spark, path).select("doc", F.sha2("raw_md", 256).alias("raw_sha256"))
+
+
+@query("SELECT page_id::VARCHAR || '/page.md' AS source_path, sha256(coalesce(html, '') || chr(10)) AS text_sha256 FROM pages WHERE html IS NOT NULL")
+def markdown_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markdown files at any depth."""
+    path = new_path(spark, "markdown")
+    files.write_named_files(table(spark, sf_dir, "pages"), path, "page.md", "page_id", "html")
+    return files.read_markdown(spark, path).select("source_path", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("SELECT page_id::VARCHAR AS doc, 'scan ' || page_id AS content FROM pages")
+def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that end in .jpg, and their bytes."""
+    path = new_path(spark, "images")
+    files.write_named_files(table(spark, sf_dir, "pages").select(F.lit("scans").alias("doc"), F.lit("not an image").alias("text")).limit(1), path, "other.txt", "doc")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc"), F.concat(F.lit("scan "), "page_id").alias("text"))
+    found = []
+    for name, ending in ((F.col("doc").endswith("0"), "JPG"), (~F.col("doc").endswith("0"), "jpg")):
+        files.write_named_files(pages.where(name), f"{path}/{ending}", f"x.{ending}", "doc")
+        found.append(files.read_images(spark, f"{path}/{ending}/*").select(F.regexp_extract("path", r"([^/]+)/x\.\w+$", 1).alias("doc"), F.regexp_replace(F.col("content").cast("string"), "\n$", "").alias("content")))
+    return found[0].union(found[1])
+
+
+@query(
+    f"""WITH {_REASONS}, tops AS (SELECT reason, count(*) AS c FROM each_reason GROUP BY reason ORDER BY c DESC, reason LIMIT 15)
+    SELECT count(*) FILTER (keep) AS kept, count(*) FILTER (NOT keep) AS dropped, (SELECT string_agg(reason || '=' || c, ',' ORDER BY c DESC, reason) FROM tops) AS reasons FROM kept"""
+)
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "report")
+    files.write_report(filtering.full_report(judged(spark, sf_dir)), path)
+    found = files.read_report(spark, path)
+    return found.select("kept", "dropped", F.expr("array_join(transform(drop_reasons_top, r -> concat(r.reason, '=', r.count)), ',')").alias("reasons"))
+
+
+@query(
+    f"""SELECT d.doc_id::VARCHAR || '::#0' AS id, d.doc_id::VARCHAR AS source_path, 0 AS chunk_index, d.text, list_transform({_VECTOR}, lambda x: round(x / sqrt(list_inner_product({_VECTOR}, {_VECTOR})), 6)) AS embedding
+    FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id"""
+)
+def index_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and vectors, written as an index and held in memory for a search."""
+    path = new_path(spark, "index")
+    whole = documents(spark, sf_dir).select("source_path", F.lit(0).alias("chunk_index"), "text")
+    vecs = table(spark, sf_dir, "embeddings").select(F.concat(F.col("vec_id").cast("string"), F.lit("::#0")).alias("id"), "embedding")
+    files.write_index(search.build_index(whole, vecs), path)
+    return files.read_index(spark, path).select("id", "source_path", "chunk_index", "text", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+
+
+_FAILS = "page_id % 7 = 3"
+
+
+@query(f"""SELECT page_id::VARCHAR AS doc, CASE WHEN {_FAILS} THEN NULL ELSE upper(left(coalesce(html, ''), 50)) END AS raw_md, CASE WHEN {_FAILS} OR page_id % 7 = 5 THEN NULL ELSE '{{"length": ' || len(left(coalesce(html, ''), 50)) || '}}' END AS layout_json,
+    CASE WHEN {_FAILS} THEN 'ValueError(''no text'')' WHEN page_id % 7 = 5 THEN 'TypeError(''Object of type set is not JSON serializable'')' END AS error FROM pages""")
+def parsed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text, layout and dead letters of an extractor that fails for some pages, and whose layout can't be written for others."""
+
+    def extractor(content: bytes) -> tuple[str, dict]:
+        page, _, head = content.decode().partition(":")
+        if int(page) % 7 == 3:
+            raise ValueError("no text")
+        return head.upper(), {"length": {1} if int(page) % 7 == 5 else len(head)}
+
+    given = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc"), F.concat(F.col("page_id").cast("string"), F.lit(":"), F.left(F.coalesce("html", F.lit("")), F.lit(50))).alias("content"))
+    return plugins.parse(given, extractor)
+
+
+@query("SELECT doc_id::VARCHAR AS id, [len(coalesce(text, ''))::DOUBLE, (len(coalesce(text, '')) - len(replace(coalesce(text, ''), 'a', '')))::DOUBLE] AS embedding FROM documents")
+def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors from a model that counts characters, in batches."""
+    found = plugins.embed(documents(spark, sf_dir), lambda texts: [[len(t), t.count("a")] for t in texts], key="source_path")
+    return found.select("id", F.col("embedding").cast("array<double>").alias("embedding"))
+
+
+class Blanks:
+    """A tokenizer of white space."""
+
+    def __init__(self):
+        self.ids, self.words = {}, []
+
+    def encode(self, text: str) -> list[int]:
+        out = []
+        for w in text.split():
+            if w not in self.ids:
+                self.ids[w] = len(self.words)
+                self.words.append(w)
+            out.append(self.ids[w])
+        return out
+
+    def decode(self, ids: list[int]) -> str:
+        return " ".join(self.words[i] for i in ids)
+
+
+@query(
+    f"""WITH {_packed(_BY_LINE, "greatest(x.n - 80, 1)")}, lists AS (SELECT source_path, list_filter(cs, lambda c: {_strip("c")} <> '') AS cs FROM (SELECT source_path, list_transform(cs, lambda c: {_strip("c")}) AS cs FROM packed)),
+    tailed AS (SELECT source_path, list_transform(range(1, len(cs) + 1), lambda i: CASE WHEN i = 1 THEN cs[1] ELSE array_to_string({_words("cs[i - 1]")}[-80:], ' ') || chr(10) || cs[i] END) AS cs FROM lists)
+    SELECT source_path, unnest(range(0, len(cs)))::INTEGER AS chunk_index, unnest(cs) AS text FROM tailed"""
+)
+def tokenizer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks counted by a plugged-in tokenizer, each with the end of the one before it."""
+    return chunking.chunk_documents(by_line(spark, sf_dir), tokenizer=Blanks)
+
+
+@query("SELECT doc_id, strip_accents(lower(coalesce(text, ''))) AS folded FROM documents")
+def fold_exact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.fold_exact(F.coalesce("text", F.lit(""))).alias("folded"))
+
+
+@query(f"WITH {_Q}, {_INTERACTIVE_LIST} SELECT id::VARCHAR AS chunk_id, doc_path, round(score, 6) AS score, (row_number() OVER (ORDER BY score DESC, id))::INTEGER AS position FROM linear ORDER BY score DESC, id LIMIT 30")
+def plain_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interactive search without rerank and near-duplicates."""
+    found = interactive.interactive_search(index(spark, sf_dir), INTERACTIVE, asked(spark, sf_dir), top=30, rerank=False, dedup=False)
+    return found.select("chunk_id", "doc_path", F.round("score", 6).alias("score"), "position")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND source <> '' THEN source WHEN lang <> '' THEN lang ELSE '' END AS shown FROM documents")
+def field_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first field of several that is filled."""
+    sparse = F.when(F.col("doc_id") % 3 == 0, F.col("source")).when(F.col("doc_id") % 3 == 1, "")
+    return table(spark, sf_dir, "documents").select("doc_id", interactive.first_filled(sparse, F.col("lang")).alias("shown"))
+
+
+@query("SELECT count(html) FILTER (page_id % 5 <> 0) AS processed, count(*) AS total FROM pages")
+def processed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents have a text to clean; of these, every fifth has none."""
+    return cleaning.processed(table(spark, sf_dir, "pages").select(F.when(F.col("page_id") % 5 != 0, F.col("html")).alias("raw_md")))

@@ -43,6 +43,31 @@ def write_documents_as_files(df: DataFrame, path: str, key: str = "source_path",
     df.select(F.col(key).alias("document"), F.col(text).alias("value")).repartition("document").write.mode("overwrite").partitionBy("document").text(path)
 
 
+def write_named_files(df: DataFrame, path: str, name: str, key: str = "source_path", text: str = "text") -> None:
+    """The text of each document in a file ``name`` in a folder of the document's name (raw.md, a layout's JSON, ERROR.txt), a line end added; null
+    texts have none. Spark writes the files; they get their names on the driver, one by one, so this is for the few thousand documents that
+    people look at."""
+    from urllib.parse import unquote
+
+    spark, parts = df.sparkSession, f"{path.rstrip('/')}/_parts"
+    df.where(F.col(text).isNotNull()).select(F.col(key).cast("string").alias("document"), F.col(text).alias("value")).repartition("document").write.mode("overwrite").partitionBy("document").text(parts)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(hadoop.Path(parts)):
+        kind, _, document = folder.getPath().getName().partition("=")
+        if kind == "document":
+            to = hadoop.Path(f"{path.rstrip('/')}/{unquote(document)}")
+            fs.mkdirs(to)
+            for file in fs.listStatus(folder.getPath()):
+                fs.rename(file.getPath(), hadoop.Path(to, name))
+    fs.delete(hadoop.Path(parts), True)
+
+
+def write_layouts(parsed: DataFrame, path: str, key: str = "doc") -> None:
+    """The layout of each document as layout.json in its folder."""
+    write_named_files(parsed, path, "layout.json", key, "layout_json")
+
+
 def read_chunk_lines(spark: SparkSession, path: str) -> DataFrame:
     """Chunk records, with is_blank for lines that hold none; these count as dropped. A missing text is empty, a missing key stops the job."""
     raw = spark.read.text(path).select(F.col("value"), (strip(F.col("value")) == "").alias("is_blank"))
@@ -103,3 +128,10 @@ def held_index(spark: SparkSession, path: str) -> DataFrame:
     if at not in _HELD:
         _HELD[at] = read_index(spark, path).persist()
     return _HELD[at]
+
+
+def release_index(spark: SparkSession, path: str) -> None:
+    """Ends what ``held_index`` began."""
+    held = _HELD.pop((spark.sparkContext.applicationId, path), None)
+    if held is not None:
+        held.unpersist()

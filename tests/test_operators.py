@@ -15,6 +15,11 @@ CHUNKS = "source_path string, chunk_index int, text string"
 # --- cleaning ---
 
 
+def own(pattern):
+    """A pattern of the operators in Python's spelling."""
+    return re.compile(pattern.replace("(?iU)", "(?i)").replace(r"\z", r"\Z"))
+
+
 def clean_model(md):
     """Line by line, with a flag."""
     md = html.unescape(re.sub(r"\r\n?", "\n", md))
@@ -23,11 +28,11 @@ def clean_model(md):
     out, inside = [], False
     for line in md.splitlines():
         bare = line.strip()
-        if re.fullmatch(r"(?i)(direcci[óo]n en internet:)?\s*www\.eluniverso\.com", bare):
+        if own(cleaning.SITE_LINE).match(bare):
             continue
-        if re.fullmatch(r"(?i)##\s*indice", bare):
+        if own(cleaning.INDEX_START).match(bare):
             inside = True
-        elif inside and not re.match(r"(?i)##\s*(Ayuda a|EDC|Se incrementó|Bancomex|Mas provisiones|Recaudaciones|out clausuro)\b", bare):
+        elif inside and not own(cleaning.INDEX_END).match(bare):
             pass
         else:
             inside = False
@@ -51,6 +56,27 @@ def test_clean(spark):
     assert [x[0] for x in df.select(cleaning.clean(F.col("t"), every_entity=False)).collect()] == [clean_model(t) for t in many]
 
 
+def test_clean_texts_of_many_lines_and_entities(spark):
+    r = random.Random(3)
+    texts = ["\n".join(r.choice(["x", "  y ", "## INDICE", "## EDC z", "www.eluniverso.com", "", "a &amp; b", "&lt;b&gt;"]) for _ in range(r.randrange(60))) for _ in range(60)] + ["line\n" * 20_000 + "## INDICE\n" + "gone\n" * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i")
+    assert [x[0] for x in df.select(cleaning.clean(F.col("t"))).collect()] == [clean_model(t) for t in texts]
+    entities = ["&amp", "&ampx", "&#39", "&#x41;", "&NBSP;", "&lt", "&notit;", "& a", "&", "&;", "&quot;&copy;&middot;&nbsp;&#39;", "&amp;amp;lt;", "&é;", "&Eacute;&lt;"]
+    df = spark.createDataFrame(list(enumerate(entities)), "i int, t string").orderBy("i")
+    assert [x[0] for x in df.select(cleaning.decode_entities(F.col("t"))).collect()] == [html.unescape(t) for t in entities]
+
+
+def test_processed(spark):
+    assert tuple(cleaning.processed(spark.createDataFrame([("a", "x"), ("b", None), ("c", "")], "doc string, raw_md string")).first()) == (2, 3)
+
+
+def test_hot_copies(spark):
+    """Nine of ten chunks have the same text."""
+    rows = [("d%03d" % (i // 10), i % 10, "same text" if i % 10 else f"own {i}") for i in range(2000)]
+    found = filtering.with_duplicates(spark.createDataFrame(rows, "source_path string, chunk_index int, text string")).collect()
+    assert sorted((r["source_path"], r["chunk_index"]) for r in found if not r["is_duplicate"]) == sorted([(p, i) for p, i, t in rows if t != "same text"] + [("d000", 1)])
+
+
 def test_clean_documents(spark):
     got = cleaning.clean_documents(spark.createDataFrame([("a", "x "), ("b", None)], "doc string, raw_md string")).collect()
     assert sorted(map(tuple, got)) == [("a_rawclean.md", "x\n"), ("b_rawclean.md", "\n")]

@@ -33,6 +33,25 @@ def test_markdown_readers(spark, tmp_path):
     assert got == {("in put/raw.md", "one\ntwo"), ("deep/er/n.md", "a�b")}
 
 
+def test_named_files(spark, tmp_path):
+    parsed = spark.createDataFrame([("a b/c%", "one\ntwo", '{"x": 1}', None), ("d", None, None, "failed"), ("é", "", None, None)], plugins.PARSED)
+    files.write_named_files(parsed, str(tmp_path / "out"), "raw.md", "doc", "raw_md")
+    files.write_layouts(parsed, str(tmp_path / "out"))
+    files.write_named_files(plugins.failed(parsed), str(tmp_path / "out"), "ERROR.txt", "doc", "error")
+    got = {str(p.relative_to(tmp_path / "out")): p.read_text() for p in (tmp_path / "out").rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assert got == {"a b/c%/raw.md": "one\ntwo\n", "a b/c%/layout.json": '{"x": 1}\n', "d/ERROR.txt": "failed\n", "é/raw.md": "\n"}
+
+
+def test_index_held_and_released(spark, tmp_path):
+    index = spark.createDataFrame([("a::#0", "a", 0, None, "t", [1.0])], files.INDEX)
+    files.write_index(index, str(tmp_path / "i"))
+    held = files.held_index(spark, str(tmp_path / "i"))
+    assert held is files.held_index(spark, str(tmp_path / "i")) and held.count() == 1 and held.is_cached
+    files.release_index(spark, str(tmp_path / "i"))
+    files.release_index(spark, str(tmp_path / "i"))
+    assert not held.is_cached
+
+
 def test_chunk_lines(spark, tmp_path):
     lines = [json.dumps({"source_path": "a", "chunk_index": 0, "text": "ñ  "}, ensure_ascii=False), "", "  ", json.dumps({"source_path": "a", "chunk_index": 1})]
     write(tmp_path / "c.jsonl", "\n".join(lines))
