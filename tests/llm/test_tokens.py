@@ -38,6 +38,20 @@ def test_encoder_is_the_library(bpe):
         assert enc.encode(t).tolist() == bpe.encode(t, add_special_tokens=False).ids, t
 
 
+def test_both_ways_of_the_encoder_are_the_library(bpe):
+    both = [pieces.Encoder(vocabulary("byte_bpe_50k.json")) for _ in range(2)]
+    assert both[0].fast
+    both[1].fast = None
+    known = [c for c in map(chr, range(0x2100)) if not pieces._LATE.search(c)]
+    assert len(known) > 600
+    texts = [t for c in known for t in (f"a{c}b 1{c}2 {c}{c} {c}x, {c}, '{c}s 's{c}", f"{c}'s {c}'ll\n{c} \n{c}{c}\n 0{c} #{c}! {c}#", f" {c} a {c}  {c} b{c}\t{c}")]
+    r = random.Random(8)
+    texts += ["".join(r.choice([r.choice(known), " ", "\n", "a", "the", "1", "'s", "é"]) for _ in range(30)) for _ in range(2000)] + ["a" * 5000, " " * 5000, "x y" * 3000]
+    for t in texts:
+        want = bpe.encode(t, add_special_tokens=False).ids
+        assert all(e.encode(t).tolist() == want for e in both), t
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "LIMIT", 10)
     m = pieces.Memory(len)
