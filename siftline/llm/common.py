@@ -55,12 +55,17 @@ def writing(spark: SparkSession, batch: int = BATCH) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str, batch: int = BATCH) -> DataFrame:
-    """``df`` as a table in the shared folder: cuts the lineage, survives lost executors and is computed once."""
+#: Of tables whose rows take a megabyte or so: pages of few rows (elsewhere Parquet looks at a page's size after a hundred rows only, and a reader's
+#: native buffers are as large as the largest page), and no compression of what are mostly hashes.
+WIDE = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "2", "compression": "uncompressed"}
+
+
+def written(df: DataFrame, name: str, batch: int = BATCH, wide: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: cuts the lineage, survives lost executors and is computed once. wide: has it rows of a megabyte?"""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with writing(spark, batch):
-        df.write.parquet(path)
+        df.write.options(**(WIDE if wide else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

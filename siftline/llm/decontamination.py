@@ -66,7 +66,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame) -> DataFrame:
     """The index of (doc_id, text, ...), written to the shared folder. Null texts have no words; each row is a document of its own."""
     source = spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))
-    return written(source.mapInArrow(_build, INDEX), "index")
+    return written(source.mapInArrow(_build, INDEX), "index", wide=True)
 
 
 @dataclass

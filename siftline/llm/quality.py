@@ -23,6 +23,8 @@ from siftline.llm.fitting import labelled, logistic, probability
 #: Labelled rows that are learned from, at most, and bytes of a dictionary, at most. The views of all these rows' whole texts are cut into pieces
 #: of PIECE bytes, from which a dictionary's are drawn by the hash of row and place, each row weighing alike.
 ROWS, PIECE, DICTIONARY, LEVEL = 8000, 600, 65_536, 3
+#: Of the calibration.
+RIDGE = 1e-4
 _SHAPE = bytes(65 if 65 <= i <= 90 else 97 if 97 <= i <= 122 or i >= 128 else 48 if 48 <= i <= 57 else i for i in range(256))
 _RUN = re.compile(b"a+|A+|0+")
 #: Bytes of a view's windows; none for views that are compared as a whole only.
@@ -130,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Quality:
     order = np.lexsort((*x.T, y))  # the same sums however the rows came
     x, y = x[order], y[order]
     model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
-    model.weights = logistic(model.expanded(x), y)
+    model.weights = logistic(model.expanded(x), y, RIDGE)
     return model
 
 

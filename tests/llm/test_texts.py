@@ -306,7 +306,7 @@ def test_quality_score_by_hand(spark):
 
     x, y = np.array([differences(texts[i]) for _, i in learn]), np.array([y for y, _ in learn], float)
     wide = lambda a: (lambda z: np.column_stack([np.ones(len(z)), z, *(z[:, i] * z[:, j] for i in range(z.shape[1]) for j in range(i, z.shape[1]))]))(np.clip((a - x.mean(0)) / (x.std(0) + 1e-9), -5, 5))
-    w = logistic(wide(x), y)
+    w = logistic(wide(x), y, 1e-4)
     want = {i: float(probability(wide(np.array([differences(t)])), w)[0]) for i, t in texts.items()}
     found = op6_quality(spark, SF).collect()
     assert {r["doc_id"]: r["score"] for r in found} == pytest.approx(want, abs=1e-6)
