@@ -19,14 +19,17 @@ from siftline.llm.token_store import read_store, write_store
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-word shingles of whole texts, links at 80 % or more, in components."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80).drop("class_id")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal whole texts; the row of the largest id stays."""
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes a store, verifies its manifest, reads it back and stops at a wrong digest or root."""
     path, tokenizer = scratch_path(spark, "store"), vocabulary("byte_bpe_50k.json")
     write_store(table(spark, sf_dir, "documents"), path, tokenizer, end_id=0)
     found = read_store(spark, path, tokenizer)
@@ -34,6 +37,7 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and disguised personal data of whole texts; the counts and base_sha256 are of the plain ones."""
     found = personal_data(table(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(found, x -> x.plain and x.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, "base_sha256", "spans", F.size("found").cast("long").alias("n_spans"))
@@ -49,32 +53,38 @@ def _remainder(parts: int):
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of all items in whole texts."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     digest = F.sha2(F.array_join("items", ","), 256)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), "contaminated")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of whole texts by a model of the labelled rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), _remainder(5) != 0)
     return quality.scored(docs, model).select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of whole texts by a model of the labelled rows that aren't held out."""
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), _remainder(3) != 1)
     return toxicity.scored(docs, model).select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more of whole texts that fuzzily repeat across documents."""
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with the end id, and what they decode to, of whole texts, as digests."""
     return digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of whole texts, and the characters that a budget of 1024 tokens allows."""
     found = token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=1024)
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "n_chars_within")
 

@@ -12,7 +12,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,8 @@ SIGN = "▁"
 #: Characters of a part up to which its agenda is a row of a table, worked through together with the rows of the batch's other new parts; a
 #: longer one has a heap of its own. Rows of such a table at most.
 SHORT, ROWS = 32, 5_000
-#: Words and parts that a worker remembers.
-KNOWN = 150_000
+#: Words and parts that a worker remembers, and texts of a batch: where ids go out with texts, and where only digests do.
+KNOWN, TEXTS = (150_000, 300_000), (500, 1000)
 _NONE, _GONE = np.int32(2**31 - 1), -(2**31)
 _RUNS = re.compile(f"{SIGN}+[^{SIGN}]*")
 Word = tuple[bytes, int, str]
@@ -36,7 +36,7 @@ Word = tuple[bytes, int, str]
 class Pieces:
     """Words to (decimal ids, each after a space; their number; decoded text)."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: int = KNOWN[0]):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -53,7 +53,8 @@ class Pieces:
         #: characters that stand side by side in some piece; between others nothing is ever merged
         self.side = {p.piece[i : i + 2] for p in model.pieces if p.type == 1 for i in range(len(p.piece) - 1)}
         #: words and their parts; a part is encoded as the word of the same text
-        self.known = Memory(limit=KNOWN)
+        self.known = Memory(limit=known)
+        self.known.met = bytearray(1 << 20)  # kept from the second time on
         self.new: list[tuple[str, list[int], str]] = []
         self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == 1}
         self.byte_id = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
@@ -173,10 +174,21 @@ class Pieces:
         return out
 
     def check(self) -> None:
-        """Holds what was new since the last check against the library, both ways. Before a part stands what it never merges with."""
+        """Holds what was new since the last check against the library, both ways, as lines of one text; where these differ, one by one. Before a part
+        stands what it never merges with."""
         if not self.new:
             return
         texts, ids, decoded = zip(*self.new, strict=True)
+        if self.by_line:
+            newline, begin = self.agenda("\n"), self.agenda(SIGN)
+            for at in range(0, len(texts), ROWS):
+                own = [*begin, *chain.from_iterable(x for i in ids[at : at + ROWS] for x in (newline, i))]
+                text = "\n".join(["", *texts[at : at + ROWS]]).replace(SIGN, " ")
+                if self.library.encode(text, num_threads=1) != own or self.library.decode(own) != "\n".join(["", *decoded[at : at + ROWS]]).replace(SIGN, " "):
+                    break
+            else:
+                self.new.clear()
+                return
         before = "a" if self.by_word else ""
         told = self.library.encode([("\n" + t if t[0] != SIGN else before + t if before else t[1:]).replace(SIGN, " ") for t in texts], num_threads=1)
         back = self.library.decode(list(ids), num_threads=1)
@@ -211,7 +223,8 @@ class Pieces:
     def encode_batch(self, texts: list[str]) -> list[list[Word]]:
         """The words of each text. New ones of all texts are worked out together; then they are checked."""
         words = [self.words_of(t) if t else [] for t in texts]
-        fresh = {w: self.cut(w) for w in set().union(*words).difference(self.known)}
+        every = set().union(*words)
+        fresh = {w: self.cut(w) for w in every.difference(self.known)}
         got = self.learn({p for ps in fresh.values() for p in ps}.difference(self.known))
         self.check()
         known = self.known
@@ -221,6 +234,10 @@ class Pieces:
                 decoded = "".join([f[2] for f in found])
                 got[w] = (b"".join([f[0] for f in found]), sum([f[1] for f in found]), w if decoded == w else decoded)
         out = [[got.get(w) or known[w] for w in ws] for ws in words] if got else [list(map(known.__getitem__, ws)) for ws in words]
+        if len(known) + len(got) > known.limit:  # what this batch has is what is common
+            common = {w: known[w] for w in every.intersection(known)}
+            known.clear()
+            known.update(common)
         for k, v in got.items():
             known.keep(k, v)
         return out
@@ -229,18 +246,19 @@ class Pieces:
 _MODELS: dict[str, Pieces] = {}
 
 
-def pieces(path: str) -> Pieces:
+def pieces(path: str, known: int = KNOWN[0]) -> Pieces:
     """One for each file and worker process."""
     if path not in _MODELS:
         _MODELS[path] = Pieces(path)
+    _MODELS[path].known.limit = known
     return _MODELS[path]
 
 
 def _run(path: str, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = pieces(path)
+        model = pieces(path, KNOWN[not keep_ids])
         tail = b" %d" % model.end
-        for b in arrow_rows(batches, 500):
+        for b in arrow_rows(batches, TEXTS[not keep_ids]):
             n, shas, texts, all_ids = [], [], [], []
             for words in model.encode_batch(b.column(1).to_pylist()):
                 raw = (b"".join([w[0] for w in words]) + tail)[1:]

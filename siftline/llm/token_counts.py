@@ -57,7 +57,7 @@ class PrefixCounts:
                 self.ending.add_word(t.decode("latin-1"), (len(t), o))
         self.ending.make_automaton()
         self.stable: dict[int, bool] = {}
-        self.tokens, self.first, self.spaced = Memory(self.pretoken, LIMIT // 3), Memory(self.total, LIMIT // 6), Memory(self.after_space)
+        self.tokens, self.first, self.spaced = Memory(self.pretoken, LIMIT // 3), Memory(self.total, LIMIT // 6), Memory(self.after_space, 2 * LIMIT)
         self.classes = Classes(Tokenizer.from_file(path))
 
     def merged(self, text: bytes) -> list[int]:
@@ -143,18 +143,18 @@ class PrefixCounts:
         if any(s in text for s in self.specials):
             ok = np.flatnonzero(self.every(text) <= limit)
             return int(ok[-1]) + 1 if len(ok) else 0
-        head, rest = cut(text)
-        best = size = done = 0
-        for piece in ([head] if head else []) + [" " + x for x in rest]:
-            if done >= limit:
-                break
-            total = self.total(piece)
-            if done + total <= limit:
-                best = size + len(piece)
-            else:
-                best = max([best, *(size + i + 1 for i, c in enumerate(self.prefixes(piece)) if done + c <= limit)])
-            size += len(piece)
-            done += total
+        best = done = 0
+        for k, line in enumerate(lines(text)):
+            if k:  # the newline before it
+                if done == limit:
+                    return best
+                best, done = best + 1, done + 1
+            head, rest = parts(line)
+            for x in ([head] if head else []) + [" " + x for x in rest]:
+                n = self.first[x] if x is head else self.spaced[x[1:]]
+                if done + n > limit:
+                    return max([best, *(best + i + 1 for i, c in enumerate(self.prefixes(x)) if done + c <= limit)])
+                best, done = best + len(x), done + n
         return best
 
     def _split(self, text: str) -> list[str]:
