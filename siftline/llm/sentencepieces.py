@@ -27,7 +27,7 @@ SIGN = "▁"
 #: longer one has a heap of its own. Rows of such a table at most.
 SHORT, ROWS = 32, 5_000
 #: Words and parts that a worker remembers, and texts of a batch: where ids go out with texts, and where only digests do.
-KNOWN, TEXTS = (150_000, 300_000), (500, 1000)
+KNOWN, TEXTS = (150_000, 600_000), (500, 1000)
 _NONE, _GONE = np.int32(2**31 - 1), -(2**31)
 _RUNS = re.compile(f"{SIGN}+[^{SIGN}]*")
 Word = tuple[bytes, int, str]
