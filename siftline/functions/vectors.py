@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftline.functions.text import bind
+
 
 def _doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -24,4 +26,4 @@ def norm(v: Column) -> Column:
 
 def normalize(v: Column) -> Column:
     """To unit length; a zero vector stays."""
-    return F.when(norm(v) == 0, _doubles(v)).otherwise(F.transform(_doubles(v), lambda x: x / norm(v)))
+    return bind(norm(v), lambda n: F.when(n == 0, _doubles(v)).otherwise(F.transform(_doubles(v), lambda x: x / n)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline.functions.numbers import rounded
 from siftline.functions.quality import KEEP_LENGTH, KEEP_SCORE, STATS, reasons, score, stats
 from siftline.functions.text import content_hash
 from siftline.plans.stored import stored
@@ -46,7 +47,7 @@ def judged(chunks: DataFrame, threshold: float = KEEP_SCORE, least: int = KEEP_L
 
 def kept(judgements: DataFrame) -> DataFrame:
     """The filtered chunks: the text as it came, the score to four places."""
-    return judgements.where("keep").select("source_path", "chunk_index", F.round("quality_score", 4).alias("quality_score"), "text")
+    return judgements.where("keep").select("source_path", "chunk_index", rounded("quality_score", 4).alias("quality_score"), "text")
 
 
 def drop_reasons(judgements: DataFrame, blank_lines: int = 0) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from siftline.functions.numbers import rounded
 
 PAGES = [(1, "<title>cut &quot</title>"), (2, "&copy &middot &lt &#39 &eacute; &amp &am"), (3, None), (4, "a &quot;b&quot; &amp;lt; <b>c</b>")]
 DOCUMENTS = [(1, "one\n \ntwo", "en", "a", 8), (2, "", "en", "a", 0), (3, " \n \n", "en", "a", 4), (4, None, "en", "b", 0), (5, "x", "en", "b", 1)]
@@ -38,3 +39,16 @@ def test_clean_markup_of_cut_entities(differ):
 def test_split_paragraphs_of_blank_texts(differ):
     got, want = differ("split_paragraphs", documents=DOCUMENTS)
     assert got == want and len(want) == 3
+
+
+def test_l2_normalize_of_small_and_zero_elements(differ):
+    got, want = differ("l2_normalize", embeddings=VECTORS)
+    assert got == want and "-0.0" in str(want) and "nan" in str(want)
+
+
+def test_rounded(spark):
+    import duckdb
+
+    values = [0.84375, 0.71235, 1.00005, -0.00004, 0.0, -0.0, 0.49999999999999994, 0.00015, 123456.00005]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(rounded("v", 4)).collect()
+    assert list(map(repr, (r[0] for r in got))) == [repr(duckdb.execute("select round(?::double, 4)", [v]).fetchone()[0]) for v in values]
