@@ -1,7 +1,12 @@
-"""Files: images, markdown, chunk records, reports and indexes. All are read and written by Spark, so any store that it reaches will do."""
+"""Files: images, markdown, chunk records, reports and indexes. All are read and written by Spark, so any store that it reaches will do. Where a
+folder is a mounted one (file:), which the driver and all executors share, tasks read and write the small files in it themselves."""
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +18,62 @@ META = "id string, source_path string, chunk_index int, quality_score double, te
 INDEX = META + ", embedding array<double>"
 
 
+#: Names that a task gets, and bytes of contents that it gives on at once.
+NAMES, HELD_BYTES = 500, 8 << 20
+
+
+def _mounted(spark: SparkSession, folder: str) -> str | None:
+    """The path of a folder in the mounted file system; None in any other store."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _small_files(spark: SparkSession, root: str, below: Callable[[str], Iterable[str]]) -> DataFrame:
+    """(path, content) of the files ``below`` finds for each name in a mounted folder. The driver lists the names only; tasks do the rest."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        given = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["path", "content"])
+        held, size = [], 0
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                for path in below(f"{root}/{name}"):
+                    with open(path, "rb") as f:
+                        held.append((path, f.read()))
+                    size += len(held[-1][1]) + len(path)
+                    if size >= HELD_BYTES:
+                        yield given(held)
+                        held, size = [], 0
+        yield given(held)
+
+    names = sorted(os.listdir(root))
+    slices = max(1, min(len(names), max(spark.sparkContext.defaultParallelism, -(-len(names) // NAMES))))
+    return spark.createDataFrame(spark.sparkContext.parallelize([(n,) for n in names], slices), "name string").mapInArrow(run, "path string, content binary")
+
+
+def _image(path: str) -> bool:
+    return path.endswith((".jpg", ".JPG")) and not _hidden(path) and os.path.isfile(path)
+
+
+def _hidden(path: str) -> bool:
+    """Names that Spark's readers skip."""
+    name = path.rsplit("/", 1)[-1]
+    return name.startswith(".") or name.startswith("_") and "=" not in name
+
+
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
-    """doc (the name without its ending), path, content of the .jpg and .JPG files in a folder, not below it."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,JPG}").load(folder)
+    """doc (the name without its ending), path, content of the .jpg and .JPG files in a folder, not below it. A folder's name may be a pattern."""
+    each = folder.endswith("/*")
+    top = folder[:-2] if each else folder.rstrip("/")
+    root = None if set(top) & set("*?[]{}\\") else _mounted(spark, top)
+    if root is None:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,JPG}").load(folder)
+    else:
+        inside = lambda p: [f"{p}/{x}" for x in sorted(os.listdir(p))]
+        found = _small_files(spark, root, lambda p: filter(_image, inside(p) if each and os.path.isdir(p) else [p]))
+        found = found.select(F.concat(F.lit("file:"), "path").alias("path"), "content")
     return found.select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("doc"), "path", "content")
 
 
@@ -43,23 +101,59 @@ def write_documents_as_files(df: DataFrame, path: str, key: str = "source_path",
     df.select(F.col(key).alias("document"), F.col(text).alias("value")).repartition("document").write.mode("overwrite").partitionBy("document").text(path)
 
 
+def _put(path: str, name: str, values: list[bytes]) -> None:
+    """A file that is there as a whole or not at all, whichever attempt of a task writes it."""
+    from uuid import uuid4
+
+    os.makedirs(path, exist_ok=True)
+    part = f"{path}/.{name}.{uuid4().hex}"
+    with open(part, "wb") as f:
+        for v in values:
+            f.write(v + b"\n")
+    if os.path.exists(crc := f"{path}/.{name}.crc"):  # the checksum of a file that was here before
+        os.unlink(crc)
+    os.replace(part, f"{path}/{name}")
+
+
 def write_named_files(df: DataFrame, path: str, name: str, key: str = "source_path", text: str = "text") -> None:
     """The text of each document in a file ``name`` in a folder of the document's name (raw.md, a layout's JSON, ERROR.txt), a line end added; null
-    texts have none. Spark writes the files; they get their names on the driver, one by one, so this is for the few thousand documents that
-    people look at."""
+    texts have none, and texts of one document follow each other. In a mounted folder the tasks write the files. In other stores Spark does, and they
+    get their names on the driver, several at a time."""
+    spark = df.sparkSession
+    docs = df.where(F.col(text).isNotNull()).select(F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("document"), F.col(text).cast("string").alias("value")).repartition("document")
+    root = _mounted(spark, path.rstrip("/"))
+    if root is None:
+        return _named_on_driver(docs, path, name)
+
+    def run(batches: Iterator) -> Iterator:
+        rows = ((d.as_py(), v.as_py()) for batch in batches for d, v in zip(batch.column(0), batch.column(1), strict=True))
+        for document, same in groupby(rows, lambda r: r[0]):
+            _put(f"{root}/{document}", name, [v for _, v in same])
+        yield from ()
+
+    os.makedirs(root, exist_ok=True)
+    docs.sortWithinPartitions("document").select("document", F.col("value").cast("binary").alias("value")).mapInArrow(run, "document string").write.format("noop").mode("overwrite").save()
+
+
+def _named_on_driver(docs: DataFrame, path: str, name: str) -> None:
+    from concurrent.futures import ThreadPoolExecutor
     from urllib.parse import unquote
 
-    spark, parts = df.sparkSession, f"{path.rstrip('/')}/_parts"
-    df.where(F.col(text).isNotNull()).select(F.col(key).cast("string").alias("document"), F.col(text).alias("value")).repartition("document").write.mode("overwrite").partitionBy("document").text(parts)
+    spark, parts = docs.sparkSession, f"{path.rstrip('/')}/_parts"
+    docs.write.mode("overwrite").partitionBy("document").text(parts)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for folder in fs.listStatus(hadoop.Path(parts)):
-        kind, _, document = folder.getPath().getName().partition("=")
+
+    def named(folder) -> None:
+        kind, _, document = folder.getName().partition("=")
         if kind == "document":
             to = hadoop.Path(f"{path.rstrip('/')}/{unquote(document)}")
             fs.mkdirs(to)
-            for file in fs.listStatus(folder.getPath()):
+            for file in fs.listStatus(folder):
                 fs.rename(file.getPath(), hadoop.Path(to, name))
+
+    with ThreadPoolExecutor(32) as pool:
+        list(pool.map(named, [x.getPath() for x in fs.listStatus(hadoop.Path(parts))]))
     fs.delete(hadoop.Path(parts), True)
 
 

@@ -117,3 +117,23 @@ def test_stream(spark, tmp_path):
     asked = kept_stream(stream, "at").writeStream.format("memory").queryName("kept").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     asked.awaitTermination(120)
     assert [r["source_path"] for r in spark.table("kept").collect()] in (["a"], ["b"])
+
+
+def test_named_files_are_written_and_read_by_tasks(spark, tmp_path):
+    """None gets its name on the driver; hidden names, repeated documents, and a file that was there before."""
+    rows = [(str(i), "é\n" * (i % 3)) for i in range(300)] + [("_x", "a"), ("7", "again")]
+    for _ in range(2):
+        files.write_named_files(spark.createDataFrame(rows, "source_path string, text string"), str(tmp_path / "out"), "raw.md")
+    assert not (tmp_path / "out/_parts").exists() and len(list((tmp_path / "out").rglob("*"))) == 2 * 301
+    got = {r["doc"]: r["raw_md"] for r in files.read_raw_markdown(spark, f"file://{tmp_path}/out/").collect()}
+    want = {d: t + "\n" for d, t in rows}
+    assert got.pop("7") in ("é\n\nagain\n", "again\né\n\n") and want.pop("7") and got == want
+    paths = sorted(r["source_path"] for r in files.read_markdown(spark, str(tmp_path / "out")).collect())
+    assert paths == sorted(f"{i}/raw.md" for i in range(300))
+
+
+def test_images_of_a_pattern(spark, tmp_path):
+    for name in ("p/x.jpg", "q/x.JPG", "q/y.jpg", "q/z.png", "q/deep/w.jpg", "top.jpg"):
+        write(tmp_path / name, b"x\xff")
+    got = sorted(tuple(r) for r in files.read_images(spark, f"{tmp_path}/*").collect())
+    assert [(d, p.rsplit("/", 2)[1]) for d, p, _ in got if d != "top"] == [("x", "p"), ("x", "q"), ("y", "q")] and all(bytes(c) == b"x\xff" for _, _, c in got)
