@@ -79,8 +79,13 @@ def read_images(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_raw_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """doc (the folder's name), raw_md of raw.md in each folder one level down; folders without one give no row."""
+    doc = lambda path: F.regexp_extract(path, r"([^/]+)/raw\.md$", 1).alias("doc")
+    root = _mounted(spark, folder.rstrip("/"))
+    if root is not None:
+        found = _small_files(spark, root, lambda p: filter(os.path.isfile, [f"{p}/raw.md"]))
+        return found.select(doc(F.col("path")), F.col("content").cast("string").alias("raw_md"))
     found = spark.read.text(f"{folder.rstrip('/')}/*/raw.md", wholetext=True)
-    return found.select(F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"([^/]+)/raw\.md$", 1).alias("doc"), F.col("value").alias("raw_md"))
+    return found.select(doc(F.url_decode(F.col("_metadata.file_path"))), F.col("value").alias("raw_md"))
 
 
 def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
