@@ -88,12 +88,24 @@ def read_raw_markdown(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(doc(F.url_decode(F.col("_metadata.file_path"))), F.col("value").alias("raw_md"))
 
 
+def _markdown_below(top: str) -> Iterator[str]:
+    if not _hidden(top):
+        if os.path.isfile(top):
+            yield from [top] if top.endswith(".md") else []
+        elif os.path.isdir(top):
+            for name in sorted(os.listdir(top)):
+                yield from _markdown_below(f"{top}/{name}")
+
+
 def read_markdown(spark: SparkSession, folder: str) -> DataFrame:
     """source_path (below the folder), text of all .md files at any depth. Bytes that aren't UTF-8 become U+FFFD."""
+    path, root = F.col("path"), _mounted(spark, folder.rstrip("/"))
+    text = F.make_valid_utf8(F.col("content").cast("string")).alias("text")
+    if root is not None:
+        return _small_files(spark, root, _markdown_below).select(F.substring(path, F.lit(len(root) + 2), F.length(path)).alias("source_path"), text)
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true").load(folder)
     name = F.element_at(F.split(F.lit(folder.rstrip("/")), "/"), -1)
-    path = F.col("path")
-    return found.select(F.substring(path, F.instr(path, F.concat(F.lit("/"), name, F.lit("/"))) + F.length(name) + 2, F.length(path)).alias("source_path"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
+    return found.select(F.substring(path, F.instr(path, F.concat(F.lit("/"), name, F.lit("/"))) + F.length(name) + 2, F.length(path)).alias("source_path"), text)
 
 
 def write_markdown(df: DataFrame, path: str, key: str = "source_path", text: str = "text") -> None:
