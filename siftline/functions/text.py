@@ -14,8 +14,18 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[\s\x1c-\x1f]"
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+#: White space, one by one: what trims take, and a class whose members below U+0100 Java looks up in a table; above it, a range is asked first.
+_LOW, _HIGH = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0", "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _among(low: str, high: str) -> str:
+    return f"[{low}[\u1680-\u3000&&[{high}]]]"
+
+
+SPACE = _among(_LOW, _HIGH)
+LINE_END = _among("\n\r\x0b\x0c\x1c\x1d\x1e\x85", "\u2028\u2029") + r"(?:(?<=\r)\n)?"
+#: White space that isn't a single blank.
+_UNEVEN = f"{_among(_LOW.replace(' ', ''), _HIGH)}{SPACE}*| {SPACE}+"
 
 
 def bind(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -25,26 +35,26 @@ def bind(value: Column, f: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(c, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(_LOW + _HIGH))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U){SPACE}+\z", "")
+    return F.rtrim(c, F.lit(_LOW + _HIGH))
 
 
 def squeeze(c: Column) -> Column:
     """Stripped, and every run of white space a single space."""
-    return F.regexp_replace(strip(c), rf"(?U){SPACE}+", " ")
+    return F.regexp_replace(strip(c), _UNEVEN, " ")
 
 
 def newlines(c: Column) -> Column:
     """CR LF and CR become LF."""
-    return F.regexp_replace(c, r"\r\n?", "\n")
+    return F.when(F.contains(c, F.lit("\r")), F.regexp_replace(c, r"\r\n?", "\n")).otherwise(c)
 
 
 def words(c: Column) -> Column:
     """Runs of other than white space; an empty text has none."""
-    return F.filter(F.split(c, rf"(?U){SPACE}+"), lambda w: w != "")
+    return F.array_remove(F.split(c, f"{SPACE}+"), "")
 
 
 def lines(c: Column) -> Column:

@@ -41,9 +41,12 @@ def count_words(c: Column) -> Column:
 
 def split_paragraphs(c: Column) -> Column:
     """Stripped paragraphs between blank lines; a text without any is one paragraph."""
-    bare = strip(newlines(c))
-    found = F.filter(F.transform(F.split(bare, rf"(?U)\n{SPACE}*\n+"), strip), lambda p: p != "")
-    return F.when(F.size(found) > 0, found).otherwise(F.array(bare))
+
+    def cut(bare: Column) -> Column:
+        # what is split is stripped, so only a blank text has no paragraph
+        return F.when(bare == "", F.array(bare)).otherwise(F.array_remove(F.transform(F.split(bare, rf"\n{SPACE}*\n+"), strip), ""))
+
+    return bind(strip(newlines(c)), cut)
 
 
 def word_windows(w: Column, size: int = MAX_TOKENS, overlap: int = OVERLAP) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.functions.numbers import rounded
-from siftline.functions.quality import KEEP_LENGTH, KEEP_SCORE, STATS, reasons, score, stats
+from siftline.functions.quality import KEEP_LENGTH, KEEP_SCORE, STATS, met, reasons, score, stats
 from siftline.functions.text import content_hash
 from siftline.plans.stored import stored
 
@@ -17,27 +17,29 @@ TOP_REASONS, CHART_REASONS = 15, 12
 def scored(chunks: DataFrame) -> DataFrame:
     """Adds the ten statistics, quality_score and score_reasons. Null texts count as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = chunks.withColumn("stats", stats(text))
-    s = F.col("stats")
-    return found.select(*chunks.columns, *(s[k].alias(k) for k in STATS), score(s, text).alias("quality_score"), reasons(s, text).alias("score_reasons"))
+    s, applies = F.col("stats"), F.col("_met")
+    found = chunks.withColumn("stats", stats(text)).withColumn("_met", met(s, text))
+    return found.select(*chunks.columns, *(s[k].alias(k) for k in STATS), score(s, text, applies).alias("quality_score"), reasons(s, text, applies).alias("score_reasons"))
 
 
-def with_duplicates(chunks: DataFrame) -> DataFrame:
-    """Adds content_hash and is_duplicate: true but for the first chunk, by source_path and chunk_index, of those with a hash.
+def with_duplicates(chunks: DataFrame, texts: bool = True) -> DataFrame:
+    """Adds content_hash and is_duplicate: true but for the first chunk, by source_path and chunk_index, of those with a hash. Without ``texts``
+    the text goes, and isn't written.
 
     Chunks and hashes are worked out once, into a table. The first of each repeated hash comes from a partial aggregate and is joined back from
     a table, too, so a text with any number of copies is never gathered in one task, as a window over the hash would: Spark broadcasts the repeated
     hashes where they are few, and splits the rows of hot ones where they are many.
     """
-    hashed = stored(chunks.withColumn("content_hash", content_hash(F.coalesce(F.col("text"), F.lit("")))), "hashed")
+    hashed = chunks.withColumn("content_hash", content_hash(F.coalesce(F.col("text"), F.lit(""))))
+    hashed = stored(hashed if texts else hashed.drop("text"), "hashed")
     place = F.struct(*ORDER)
     first = stored(hashed.groupBy("content_hash").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies"), "first")
     return hashed.join(first, "content_hash", "left").withColumn("is_duplicate", F.coalesce(place != F.col("first"), F.lit(False))).drop("first")
 
 
-def judged(chunks: DataFrame, threshold: float = KEEP_SCORE, least: int = KEEP_LENGTH) -> DataFrame:
-    """Adds keep and drop_reasons. A chunk that is itself dropped still makes its later copies duplicates."""
-    found = with_duplicates(scored(chunks))
+def judged(chunks: DataFrame, threshold: float = KEEP_SCORE, least: int = KEEP_LENGTH, texts: bool = True) -> DataFrame:
+    """Adds keep and drop_reasons. A chunk that is itself dropped still makes its later copies duplicates. Reports need no ``texts``."""
+    found = with_duplicates(scored(chunks), texts)
     low, short = F.col("quality_score") < threshold, F.col("n") < least
     extra = F.array(F.when(F.col("is_duplicate"), "duplicate"), F.when(short, "too_short"))
     why = F.concat(F.array_compact(extra), F.col("score_reasons"), F.array_compact(F.array(F.when(low, "below_threshold"))))

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from siftline.functions import quality
 from siftline.operators import chunking, cleaning, filtering, interactive, search
 
 CHUNKS = "source_path string, chunk_index int, text string"
@@ -318,3 +319,23 @@ def test_interactive_search(spark, index):
     assert spark.range(1).select(interactive.first_filled(F.lit(None), F.lit(""), F.lit(0))).first()[0] == "0"
     with pytest.raises(ValueError):
         interactive.interactive_search(index, "x", q, top=81)
+
+
+def test_scores_are_worked_out_once_and_reports_write_no_texts(spark):
+    chunks = spark.createDataFrame([("a", 0, f"Tel 1 {'good words ' * 20}"), ("b", 0, "x"), ("c", 0, "x")], "source_path string, chunk_index int, text string")
+    plan = filtering.scored(chunks)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[Aa][Xx]") == 1 and plan.count("ÁÉÍÓÚÜÑáéíóúüñ") == 1
+    found = filtering.judged(chunks, texts=False)
+    assert "text" not in found.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, filtering.judged(chunks).drop("text").collect()))
+
+
+@pytest.mark.parametrize("given", ["-----", "--=_-", "----", "a-----b", "|||", "||", "||-|-", "-- ---", "x|||x"])
+def test_separators(spark, given):
+    assert spark.range(1).select(F.lit(given).rlike(quality.SEPARATORS)).first()[0] == bool(re.search(r"[-_=]{5,}|[|]{3,}", given))
+
+
+def test_phone_words(spark):
+    given = ["Tel", "telf 1", "hotel", "Telfa", "Téltel", "_fax", "a Fax.", "PBX", "pbxs", "ñtel", "tel é", "tél tel"]
+    got = [r[0] for r in spark.createDataFrame(list(enumerate(given)), "i int, t string").orderBy("i").select(F.col("t").rlike(quality.PHONE)).collect()]
+    assert got == [bool(re.search(r"\b(Tel|Telf|PBX|Fax)\b", t, re.I)) for t in given]
