@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from siftline.functions.text import SPACE, bind, newlines, strip, words
 
 MAX_TOKENS, OVERLAP = 500, 80
+#: Documents that a worker cuts at once.
+ROWS = 200
 CHUNKS = "source_path string, chunk_index int, text string"
 
 
@@ -117,9 +119,14 @@ def chunk_documents(docs: DataFrame, key: str = "source_path", text: str = "text
         return named.select("source_path", F.posexplode(pack(F.col("p"), max_tokens, overlap)).alias("chunk_index", "text"))
 
     def run(batches: Iterator) -> Iterator:
-        own = tokenizer()
-        for pdf in batches:
-            pdf["c"] = [pack_tokens(list(p), own, max_tokens, overlap) for p in pdf["p"]]
-            yield pdf[["source_path", "c"]]
+        import pyarrow as pa
 
-    return named.mapInPandas(run, "source_path string, c array<string>").select("source_path", F.posexplode("c").alias("chunk_index", "text"))
+        own = tokenizer()
+        for batch in batches:
+            # few documents at a time are Python's, whatever an Arrow batch has
+            for i in range(0, batch.num_rows, ROWS):
+                part = batch.slice(i, ROWS)
+                cut = [pack_tokens(p, own, max_tokens, overlap) for p in part.column("p").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("source_path"), pa.array(cut, pa.list_(pa.string()))], ["source_path", "c"])
+
+    return named.mapInArrow(run, "source_path string, c array<string>").select("source_path", F.posexplode("c").alias("chunk_index", "text"))

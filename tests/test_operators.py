@@ -339,3 +339,14 @@ def test_phone_words(spark):
     given = ["Tel", "telf 1", "hotel", "Telfa", "Téltel", "_fax", "a Fax.", "PBX", "pbxs", "ñtel", "tel é", "tél tel"]
     got = [r[0] for r in spark.createDataFrame(list(enumerate(given)), "i int, t string").orderBy("i").select(F.col("t").rlike(quality.PHONE)).collect()]
     assert got == [bool(re.search(r"\b(Tel|Telf|PBX|Fax)\b", t, re.I)) for t in given]
+
+
+def test_blanks_remembers_nothing(spark):
+    from siftline.queries import Blanks
+
+    own = Blanks()
+    ids = own.encode(" ñ  a\nñ 😀 a")
+    assert vars(own) == {} and Blanks().decode(ids) == "ñ a ñ 😀 a" and len(set(ids)) == 3
+    docs = spark.createDataFrame([(str(i), f"w{i} " * (i % 700) + "\n\nend") for i in range(450)], "source_path string, text string").coalesce(1)
+    got = chunking.chunk_documents(docs, tokenizer=Blanks)
+    assert got.where("chunk_index = 0").count() == 450
