@@ -40,8 +40,9 @@ def shingles(text: Column, k: int = SHINGLE) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    """Shared over all; 0 where either set is empty."""
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
+    """Shared over all, of arrays that hold each member once; 0 where either is empty."""
+    both = lambda n: n / (F.size(a) + F.size(b) - n)
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(bind(F.size(F.array_intersect(a, b)), both))
 
 
 def first_filled(*columns: Column) -> Column:

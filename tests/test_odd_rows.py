@@ -57,3 +57,11 @@ def test_rounded(spark):
     values = [0.84375, 0.71235, 1.00005, -0.00004, 0.0, -0.0, 0.49999999999999994, 0.00015, 123456.00005]
     got = spark.createDataFrame([(v,) for v in values], "v double").select(rounded("v", 4)).collect()
     assert list(map(repr, (r[0] for r in got))) == [repr(duckdb.execute("select round(?::double, 4)", [v]).fetchone()[0]) for v in values]
+
+
+def test_shingle_jaccard_shuffles_no_shingles(spark, differ, tmp_path):
+    texts = [(1, "a b c d e f", "en", "a", 11), (2, "A b c d e g", "en", "a", 11), (3, "a b", "en", "a", 3), (4, None, "en", "a", 0), (5, "a b c d e a b c d e a", "en", "a", 21), (6, "b c d e a b", "en", "a", 11)]
+    got, want = differ("shingle_jaccard", documents=texts)
+    assert got == want and len(want) == 5
+    plan = entry.queries()["shingle_jaccard"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in plan and "array_distinct" not in plan[plan.index("Join Inner") :]
